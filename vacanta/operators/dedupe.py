@@ -29,7 +29,7 @@ def first_seen(df: DataFrame, rank: str | None = None) -> DataFrame:
         order.append(F.col(rank).asc_nulls_last())
     content = [name for name in texted.columns if name not in ("id", rank)]
     if content:
-        order += [F.xxhash64(*content), F.to_json(F.struct(*content))]
+        order.append(F.xxhash64(*content))
     one = Window.partitionBy("id").orderBy(*order)
     known = (
         texted.filter(F.col("id").isNotNull())
