@@ -7,18 +7,21 @@ table see :mod:`vacanta.operators.dictionary`.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vacanta.fixed_values import OTHER_CATEGORY, SKILL_DICTIONARY
+from vacanta.functions.text import bind
 
 Dictionary = dict[str, dict[str, list[str]]]
 
 # A word (with . & + _ inside it, + also at its end) or one sign.
 TOKEN = r"[\p{L}\p{N}][\p{L}\p{N}_+]*+(?:[._&+][\p{L}\p{N}_]++)*+|\S"
+# The same for the spellings of a dictionary constant, in Python's notation.
+_SPELLING_TOKEN = re.compile(r"[^\W_][\w+]*(?:[._&+]\w+)*|\S")
 
 
 def tokens(c: Column) -> Column:
@@ -34,47 +37,53 @@ def phrase_form(words: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
 
 
-def tag_skills(
-    df: DataFrame,
-    text: str,
-    output: str = "skills",
-    dictionary: Dictionary = SKILL_DICTIONARY,
-) -> DataFrame:
-    """Add the sorted distinct skills whose spellings occur in column ``text``.
+def _constant_list(texts: list[str]) -> Column:
+    # One string literal that the optimizer folds into an array literal.
+    return F.split(F.lit("\x01".join(texts)), "\x01")
 
-    A narrow transformation. One pass over the tokens keeps those that begin a
-    spelling (a hash lookup each); only spellings whose first token was kept are
-    then searched in the text. The steps are separate selects so that each is
-    computed once per row. The spellings' tokens are constants to the optimizer.
+
+def skills_in(text: Column, dictionary: Dictionary = SKILL_DICTIONARY) -> Column:
+    """Sorted distinct skills whose spellings occur in ``text``; no shuffle.
+
+    One pass over the tokens keeps those that begin a spelling (a hash lookup each).
+    Only spellings whose first token was kept are then searched for in the text, and
+    only if they have further tokens. ``text`` is evaluated once.
     """
-    owned = {skill: words for skills in dictionary.values() for skill, words in skills.items()}
-    if not owned:
-        return df.withColumn(output, F.array().cast("array<string>"))
+    spelled = sorted(
+        (skill, tuple(_SPELLING_TOKEN.findall(spelling.lower())))
+        for skills in dictionary.values()
+        for skill, spellings in skills.items()
+        for spelling in spellings
+    )
+    spelled = [(skill, words) for skill, words in spelled if words]
+    if not spelled:
+        return F.array().cast("array<string>")
+    spellings = F.arrays_zip(
+        _constant_list([skill for skill, _ in spelled]).alias("skill"),
+        _constant_list([words[0] for _, words in spelled]).alias("start"),
+        # '' stands for a spelling of one token, which its start already decides.
+        _constant_list([f" {' '.join(w)} " if len(w) > 1 else "" for _, w in spelled]).alias(
+            "phrase"
+        ),
+    )
+    starts = sorted({words[0] for _, words in spelled})
 
-    def first(word: str) -> Column:
-        return F.get(tokens(F.lit(word)), F.lit(0))
+    def found(seen: Column) -> Column:
+        hits = F.filter(
+            spellings,
+            lambda s: F.array_contains(seen["starts"], s["start"])
+            & F.contains(seen["form"], s["phrase"]),
+        )
+        return F.array_distinct(F.transform(hits, lambda s: s["skill"]))
 
-    def occurs(word: str) -> Column:
-        parts = tokens(F.lit(word))
-        return F.array_contains("_starts", first(word)) & (
-            (F.size(parts) == 1) | F.contains("_form", phrase_form(parts))
+    def scanned(words: Column) -> Column:
+        kept = F.array_distinct(F.filter(words, lambda word: word.isin(starts)))
+        looked_at = F.struct(phrase_form(words).alias("form"), kept.alias("starts"))
+        return F.when(F.size(kept) > 0, bind(looked_at, found)).otherwise(
+            F.array().cast("array<string>")
         )
 
-    firsts = [first(word) for words in owned.values() for word in words]
-    found = [
-        F.when(reduce(or_, map(occurs, words)), F.lit(skill))
-        for skill, words in sorted(owned.items())
-    ]
-    tokenised = df.withColumn("_tokens", F.coalesce(tokens(F.col(text)), F.array()))
-    started = tokenised.withColumns(
-        {
-            "_form": phrase_form(F.col("_tokens")),
-            "_starts": F.array_distinct(F.filter("_tokens", lambda token: token.isin(firsts))),
-        }
-    )
-    return started.withColumn(output, F.array_compact(F.array(*found))).drop(
-        "_tokens", "_form", "_starts"
-    )
+    return bind(F.coalesce(tokens(text), F.array()), scanned)
 
 
 def known_skills(dictionary: Dictionary = SKILL_DICTIONARY) -> list[str]:

@@ -34,7 +34,12 @@ _TAG = r"""</?[A-Za-z][^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
 
 
 def bind(c: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(c)`` with ``c`` evaluated once, however often ``body`` refers to it."""
+    """``body(c)`` with ``c`` evaluated once, however often ``body`` refers to it.
+
+    It also leaves a single reference to ``c`` in the expression. Spark moves filters
+    on derived columns below the select that derives them, copying the expression for
+    each reference; with one reference each, nothing multiplies.
+    """
     return F.get(F.transform(F.array(c), body), F.lit(0))
 
 

@@ -15,7 +15,7 @@ from vacanta.fixed_values import (
     SENIORITY_PATTERNS,
     UNSPECIFIED_LEVEL,
 )
-from vacanta.functions.text import is_blank
+from vacanta.functions.text import bind, is_blank
 
 Rules = Sequence[tuple[str, Sequence[str]]]
 
@@ -26,11 +26,16 @@ _FLAGS = "(?iUd)"
 def label_by_rules(c: Column, rules: Rules, default: str, blank: str | None = None) -> Column:
     """One CASE WHEN over ``rules``; ``blank`` (if other than ``default``) for no text."""
     used = [(label, "|".join(patterns)) for label, patterns in rules if patterns]
-    return reduce(
-        lambda case, rule: case.when(c.rlike(_FLAGS + rule[1]), F.lit(rule[0])),
-        used,
-        F.when(is_blank(c), F.lit(default if blank is None else blank)),
-    ).otherwise(F.lit(default))
+    empty = F.lit(default if blank is None else blank)
+
+    def cases(text: Column) -> Column:
+        return reduce(
+            lambda case, rule: case.when(text.rlike(_FLAGS + rule[1]), F.lit(rule[0])),
+            used,
+            F.when(is_blank(text), empty),
+        ).otherwise(F.lit(default))
+
+    return bind(c, cases)
 
 
 def role_category(title: Column) -> Column:

@@ -19,6 +19,15 @@ from vacanta.functions.skills import Dictionary, category_of
 from vacanta.functions.values import bucket_start, iso_date, timestamp_column
 
 
+def exploded(skills: str) -> Column:
+    """One row per list entry, named ``skill``; drop the null ones afterwards.
+
+    A plain explode makes the optimizer first filter on the size of the list, for
+    which it would derive the list from the text a second time.
+    """
+    return F.explode_outer(skills).alias("skill")
+
+
 def skill_demand(
     df: DataFrame,
     dictionary: Dictionary | DataFrame = SKILL_DICTIONARY,
@@ -32,7 +41,8 @@ def skill_demand(
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     mentions = (
-        df.select(F.explode(skills).alias("skill"))
+        df.select(exploded(skills))
+        .filter(F.col("skill").isNotNull())
         .groupBy("skill")
         .agg(F.count(F.lit(1)).alias("postings_mentioning"))
     )
@@ -71,27 +81,32 @@ def skill_trend(
 ) -> DataFrame:
     """``(period, skill, mentions)``; unreadable dates and empty lists give no rows.
 
-    ``only`` (names, or an array column) thins the lists before they are exploded.
+    ``only`` keeps some skills: names thin the lists before they are exploded, an array
+    column (a scalar subquery) selects afterwards.
     """
     listed = F.col(skills)
-    if only is not None:
-        wanted = only if isinstance(only, Column) else F.array(*map(F.lit, only))
-        listed = F.filter(listed, lambda s: F.array_contains(wanted, s))
-    return (
+    names = None if only is None or isinstance(only, Column) else list(only)
+    if names is not None:
+        listed = F.filter(listed, lambda s: s.isin(names))
+    mentions = (
         df.select(bucket_start(timestamp_column(df, date), freq).alias("period"), listed.alias("_s"))
         .filter(F.col("period").isNotNull())
-        .select("period", F.explode("_s").alias("skill"))
+        .select("period", exploded("_s"))
         .filter(F.col("skill").isNotNull())
-        .groupBy("period", "skill")
+    )
+    if isinstance(only, Column):
+        mentions = mentions.filter(F.array_contains(only, F.col("skill")))
+    return (
+        mentions.groupBy("period", "skill")
         .agg(F.count(F.lit(1)).alias("mentions"))
         .select(iso_date(F.col("period")).alias("period"), "skill", "mentions")
     )
 
 
-def trend_choice(df: DataFrame, requested: Sequence[str] = ()) -> Column:
+def trend_choice(df: DataFrame, requested: Sequence[str] = ()) -> Column | list[str]:
     """The skills to plot: the first eight requested, else the four most mentioned."""
     if requested:
-        return F.array(*map(F.lit, list(requested)[:TREND_SKILLS_MAX]))
+        return list(requested)[:TREND_SKILLS_MAX]
     top = most_mentioned(skill_demand(df), TREND_SKILLS_DEFAULT)
     return top.agg(F.collect_list("skill")).scalar()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vacanta.fixed_values import SKILL_DICTIONARY
 from vacanta.functions.skills import Dictionary, tokens
-from vacanta.functions.text import is_blank
+from vacanta.functions.text import bind, is_blank
 
 
 def dictionary_table(spark, dictionary: Dictionary = SKILL_DICTIONARY) -> DataFrame:
@@ -25,20 +25,20 @@ def dictionary_table(spark, dictionary: Dictionary = SKILL_DICTIONARY) -> DataFr
 
 def _phrases(words: Column, lengths: Column) -> Column:
     """Distinct runs of consecutive words, for each wanted number of words."""
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                lengths,
-                lambda n: F.when(
-                    F.size(words) >= n,
-                    F.transform(
-                        F.sequence(F.lit(1), F.size(words) - n + 1),
-                        lambda i: F.array_join(F.slice(words, i, n), " "),
-                    ),
-                ).otherwise(F.array().cast("array<string>")),
-            )
+
+    def runs(w: Column) -> Column:
+        return F.transform(
+            lengths,
+            lambda n: F.when(
+                F.size(w) >= n,
+                F.transform(
+                    F.sequence(F.lit(1), F.size(w) - n + 1),
+                    lambda i: F.array_join(F.slice(w, i, n), " "),
+                ),
+            ).otherwise(F.array().cast("array<string>")),
         )
-    )
+
+    return F.array_distinct(F.flatten(bind(words, runs)))
 
 
 def match_dictionary(
@@ -57,8 +57,12 @@ def match_dictionary(
     # At most a handful of distinct lengths: one small array.
     lengths = spelled.agg(F.sort_array(F.collect_set(F.size("_words")))).scalar()
     wanted = spelled.select("skill", F.array_join("_words", " ").alias("_phrase")).distinct()
-    tokenised = texts.select(key, F.coalesce(tokens(F.col(text)), F.array()).alias("_words"))
-    runs = tokenised.select(key, F.explode(_phrases(F.col("_words"), lengths)).alias("_phrase"))
+    tokenised = texts.select(
+        key, F.coalesce(tokens(F.col(text)), F.array()).alias("_words"), lengths.alias("_lengths")
+    )
+    runs = tokenised.select(
+        key, F.explode_outer(_phrases(F.col("_words"), F.col("_lengths"))).alias("_phrase")
+    )
     hits = runs.join(wanted, "_phrase").select(key, "skill")
     # One marker row per text keeps those without a hit, without joining texts again.
     marked = hits.unionByName(texts.select(key, F.lit(None).cast("string").alias("skill")))

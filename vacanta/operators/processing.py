@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacanta.fixed_values import SKILL_DICTIONARY
-from vacanta.functions.skills import Dictionary, category_counts, tag_skills
+from vacanta.functions.skills import Dictionary, category_counts, skills_in
 from vacanta.functions.text import clean_description, clean_title
 from vacanta.functions.titles import role_category, seniority
 from vacanta.functions.values import numeric_column, text_column
@@ -48,6 +48,12 @@ def process_postings(
             "description_clean": clean_description(text_column(raw, "description")),
         }
     )
-    measured = cleaned.withColumn("description_length", F.length("description_clean"))
-    tagged = tag_skills(add_titles(measured, "title_clean"), "description_clean", "skills", dictionary)
-    return add_salary_midpoint(add_category_counts(tagged, "skills", dictionary))
+    derived = cleaned.withColumns(
+        {
+            "description_length": F.length("description_clean"),
+            "role_category": role_category(F.col("title_clean")),
+            "seniority": seniority(F.col("title_clean")),
+            "skills": skills_in(F.col("description_clean"), dictionary),
+        }
+    )
+    return add_salary_midpoint(add_category_counts(derived, "skills", dictionary))

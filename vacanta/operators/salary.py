@@ -11,6 +11,7 @@ from vacanta.fixed_values import (
     PAY_BY_SKILL_MIN_POSTINGS,
 )
 from vacanta.functions.values import rounded_pounds, text_column
+from vacanta.operators.demand import exploded
 from vacanta.operators.filters import plausible_salary
 from vacanta.operators.quantiles import box_plots, medians
 
@@ -59,8 +60,8 @@ def salary_histogram(
     edges = salaries.agg(F.array(first, *inner, stop).alias("edges")).scalar()
 
     # The subquery is evaluated once; each row is compared with its 25 numbers.
-    placed = salaries.select(
-        "_v", F.size(F.filter(edges, lambda edge: edge < F.col("_v"))).alias("_bucket")
+    placed = salaries.select("_v", edges.alias("_edges")).select(
+        F.size(F.filter("_edges", lambda edge: edge < F.col("_v"))).alias("_bucket")
     )
     counted = placed.agg(
         F.array(*[F.count_if(F.col("_bucket") == i + 1) for i in range(buckets)]).alias("counts"),
@@ -85,27 +86,22 @@ def pay_by_skill(
 ) -> DataFrame:
     """Median salary of the ``limit`` skills with most salaried postings.
 
-    Skills are first only counted; the medians are then taken for the chosen few, by
-    filtering the lists before they are exploded.
+    Skills are first only counted; the medians are then taken for the chosen few.
     """
     paid = df.select(
         F.col("skills"), plausible_salary(df, salary).alias("_salary")
     ).filter(F.col("_salary").isNotNull())
+    pairs = paid.select(exploded("skills"), "_salary").filter(F.col("skill").isNotNull())
     chosen = (
-        paid.select(F.explode("skills").alias("skill"))
-        .filter(F.col("skill").isNotNull())
-        .groupBy("skill")
+        pairs.groupBy("skill")
         .agg(F.count(F.lit(1)).alias("postings"))
         .filter(F.col("postings") >= least)
         .orderBy(F.desc("postings"), "skill")
         .limit(limit)
     )
     names = chosen.agg(F.collect_list("skill")).scalar()
-    exploded = paid.select(
-        F.explode(F.filter("skills", lambda s: F.array_contains(names, s))).alias("skill"),
-        "_salary",
-    )
-    return medians(exploded, ["skill"], "_salary").select(
+    kept = pairs.filter(F.array_contains(names, F.col("skill")))
+    return medians(kept, ["skill"], "_salary").select(
         "skill",
         rounded_pounds(F.col("median")).alias("median_salary"),
         F.col("median").alias("_median"),
