@@ -36,7 +36,6 @@ from vacanta.operators.features import FEATURES, feature_table, model_rows
 from vacanta.operators.filters import apply_filters, filter_options, plausible_salary, search
 from vacanta.operators.metrics import regression_metrics
 from vacanta.operators.processing import (
-    add_category_counts,
     add_salary_midpoint,
     add_titles,
     process_postings,
@@ -63,6 +62,16 @@ def processed(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame
     return process_postings(raw_postings(spark, folder, wide))
 
 
+def priced(spark: SparkSession, folder: str) -> DataFrame:
+    return add_salary_midpoint(raw_postings(spark, folder))
+
+
+def titled(spark: SparkSession, folder: str) -> DataFrame:
+    """What the reports need that do not look into descriptions."""
+    cleaned = priced(spark, folder).withColumn("title_clean", clean_title(F.col("title")))
+    return add_titles(cleaned, "title_clean")
+
+
 def joined(name: str = "skills"):
     return F.array_join(name, "|").alias(name)
 
@@ -87,13 +96,13 @@ def _(spark, folder):
 
 @query("salary_midpoint", f"{S.WITH_PAY} SELECT id, salary_min, salary_max, salary_midpoint FROM paid")
 def _(spark, folder):
-    rows = add_salary_midpoint(raw_postings(spark, folder))
+    rows = priced(spark, folder)
     return rows.select("id", "salary_min", "salary_max", "salary_midpoint")
 
 
 @query("plausible_salary", f"{S.WITH_PAY} SELECT id, pay AS salary FROM paid")
 def _(spark, folder):
-    rows = add_salary_midpoint(raw_postings(spark, folder))
+    rows = priced(spark, folder)
     return rows.select("id", plausible_salary(rows).alias("salary"))
 
 
@@ -113,7 +122,7 @@ SELECTION = {
       AND region IN ('REGION_1', 'REGION_2', 'EUROPE', 'ASIA')""",
 )
 def _(spark, folder):
-    rows = apply_filters(processed(spark, folder), SELECTION)
+    rows = apply_filters(titled(spark, folder), SELECTION)
     return rows.select("id", "role_category", "region", "contract_type")
 
 
@@ -126,7 +135,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return filter_options(processed(spark, folder))
+    return filter_options(titled(spark, folder))
 
 
 @query(
@@ -134,7 +143,7 @@ def _(spark, folder):
     f"{S.WITH_PAY} SELECT id, {S.CATEGORICALS}, pay AS salary_midpoint FROM paid WHERE pay IS NOT NULL",
 )
 def _(spark, folder):
-    return model_rows(processed(spark, folder)).select("id", *CATEGORICAL_FEATURES, "salary_midpoint")
+    return model_rows(titled(spark, folder)).select("id", *CATEGORICAL_FEATURES, "salary_midpoint")
 
 
 @query(
@@ -281,7 +290,7 @@ def _(spark, folder):
     f"{S.WITH_SKILLS} SELECT id, {S.COUNTS}, CAST(len(skills) AS BIGINT) AS n_skills_total FROM posts",
 )
 def _(spark, folder):
-    rows = add_category_counts(processed(spark, folder, wide=True))
+    rows = processed(spark, folder, wide=True)
     return rows.select("id", *longs(*count_columns(), "n_skills_total"))
 
 
@@ -453,7 +462,7 @@ def _(spark, folder):
     {S.pounds('median(pay)')} AS median_salary FROM paid""",
 )
 def _(spark, folder):
-    return counts.overview_totals(processed(spark, folder))
+    return counts.overview_totals(priced(spark, folder))
 
 
 def _counts_sql(column: str) -> str:
@@ -462,17 +471,17 @@ def _counts_sql(column: str) -> str:
 
 @query("top_counts_role", f"{S.WITH_TITLES} {_counts_sql('role_category')}")
 def _(spark, folder):
-    return counts.value_counts(processed(spark, folder), "role_category")
+    return counts.value_counts(titled(spark, folder), "role_category")
 
 
 @query("top_counts_seniority", f"{S.WITH_TITLES} {_counts_sql('seniority')}")
 def _(spark, folder):
-    return counts.value_counts(processed(spark, folder), "seniority")
+    return counts.value_counts(titled(spark, folder), "seniority")
 
 
 @query("top_locations", f"{S.WITH_TITLES} {_counts_sql('location')} ORDER BY count DESC, label LIMIT 10")
 def _(spark, folder):
-    return counts.top_locations(processed(spark, folder))
+    return counts.top_locations(titled(spark, folder))
 
 
 _DIMENSIONS = ["role_category", "seniority", "location"]
@@ -486,7 +495,7 @@ _DIMENSIONS = ["role_category", "seniority", "location"]
     ),
 )
 def _(spark, folder):
-    return counts.value_counts_of(processed(spark, folder), _DIMENSIONS)
+    return counts.value_counts_of(titled(spark, folder), _DIMENSIONS)
 
 
 def _period_sql(unit: str) -> str:
@@ -496,17 +505,17 @@ def _period_sql(unit: str) -> str:
 
 @query("postings_per_week", _period_sql("week"))
 def _(spark, folder):
-    return counts.period_counts(processed(spark, folder), "created", "W")
+    return counts.period_counts(priced(spark, folder), "created", "W")
 
 
 @query("postings_per_month", _period_sql("month"))
 def _(spark, folder):
-    return counts.period_counts(processed(spark, folder), "created", "M")
+    return counts.period_counts(priced(spark, folder), "created", "M")
 
 
 @query("postings_per_day", _period_sql("day"))
 def _(spark, folder):
-    return counts.period_counts(processed(spark, folder), "created", "D")
+    return counts.period_counts(priced(spark, folder), "created", "D")
 
 
 @query(
@@ -537,7 +546,7 @@ def _(spark, folder):
     {S.day('max(seen_at)')} AS collected_to FROM paid""",
 )
 def _(spark, folder):
-    return counts.dataset_summary(processed(spark, folder))
+    return counts.dataset_summary(priced(spark, folder))
 
 
 @query(
@@ -546,7 +555,7 @@ def _(spark, folder):
     {S.half_even('count(salary_midpoint) / count(*)', 4)} AS salary_share FROM paid""",
 )
 def _(spark, folder):
-    return counts.processing_summary(processed(spark, folder))
+    return counts.processing_summary(priced(spark, folder))
 
 
 @query(
@@ -559,7 +568,7 @@ def _(spark, folder):
     + " FROM raw",
 )
 def _(spark, folder):
-    return counts.health(processed(spark, folder))
+    return counts.health(priced(spark, folder))
 
 
 # --- salary reports ------------------------------------------------------------------------------
@@ -567,12 +576,12 @@ def _(spark, folder):
 
 @query("boxplot_by_role", f"{S.WITH_PAY}, {S.box('paid', 'role_category', 'pay')}")
 def _(spark, folder):
-    return salary.salary_distribution(processed(spark, folder), "role_category")
+    return salary.salary_distribution(titled(spark, folder), "role_category")
 
 
 @query("boxplot_by_seniority", f"{S.WITH_PAY}, {S.box('paid', 'seniority', 'pay')}")
 def _(spark, folder):
-    return salary.salary_distribution(processed(spark, folder), "seniority")
+    return salary.salary_distribution(titled(spark, folder), "seniority")
 
 
 _REGION = "coalesce(region, 'nan')"
@@ -584,13 +593,13 @@ _REGION = "coalesce(region, 'nan')"
     {S.box('chosen', _REGION, 'pay')}""",
 )
 def salary_by_region(spark, folder):
-    rows = apply_filters(processed(spark, folder), {"contract_type": ["permanent"]})
+    rows = apply_filters(priced(spark, folder), {"contract_type": ["permanent"]})
     return salary.salary_distribution(rows, "region")
 
 
 @query("boxplot_by_company", f"{S.WITH_PAY}, {S.box('paid', 'company', 'pay')}")
 def _(spark, folder):
-    return salary.salary_distribution(processed(spark, folder), "company")
+    return salary.salary_distribution(priced(spark, folder), "company")
 
 
 _ALL = "'all'"
@@ -601,7 +610,7 @@ _ALL = "'all'"
     f'{S.WITH_PAY}, {S.box("paid", _ALL, "pay")}'.replace('SELECT q.label, w.min AS "min"', 'SELECT w.min AS "min"'),
 )
 def _(spark, folder):
-    return salary.salary_box(processed(spark, folder))
+    return salary.salary_box(priced(spark, folder))
 
 
 @query(
@@ -614,7 +623,7 @@ def _(spark, folder):
     FROM k LEFT JOIN paid ON pay > low AND pay <= high GROUP BY 1, 2, 3""",
 )
 def _(spark, folder):
-    return salary.salary_histogram(processed(spark, folder))
+    return salary.salary_histogram(priced(spark, folder))
 
 
 @query(
@@ -751,7 +760,7 @@ _GUESS = "ln(pay * (0.9 + (CAST(id AS BIGINT) % 5) * 0.05))"
       round(avg(abs(p - y)), 6) AS mae_log FROM p""",
 )
 def _(spark, folder):
-    rows = add_salary_midpoint(raw_postings(spark, folder))
+    rows = priced(spark, folder)
     paid = rows.select("id", plausible_salary(rows).alias("pay")).filter("pay IS NOT NULL")
     pairs = paid.select(F.ln("pay").alias("log_salary"), F.expr(_GUESS).alias("prediction"))
     digits = {"mae_gbp": 2, "rmse_gbp": 2, "r2": 6, "mae_log": 6}

@@ -114,7 +114,8 @@ def skill_list(c: Column) -> Column:
 
 def members(skills: Column, names: list[str]) -> Column:
     """The list entries that are among ``names``, in order, repeats included."""
-    return F.filter(skill_list(skills), lambda s: s.isin(names))
+    listed = _constant_list(names)
+    return F.filter(skill_list(skills), lambda s: F.array_contains(listed, s))
 
 
 def category_counts(
@@ -136,5 +137,5 @@ def recognised(skills: Column, dictionary: Dictionary = SKILL_DICTIONARY) -> Col
 
 
 def ignored(skills: Column, dictionary: Dictionary = SKILL_DICTIONARY) -> Column:
-    names = known_skills(dictionary)
-    return F.filter(skill_list(skills), lambda s: ~s.isin(names))
+    listed = _constant_list(known_skills(dictionary))
+    return F.filter(skill_list(skills), lambda s: ~F.array_contains(listed, s))

@@ -74,11 +74,17 @@ def _unterminated_names() -> str:
 
 
 @cache
-def _remapped_points() -> str:
-    """Numeric references that stand for another character: 128-159 are Windows-1252."""
-    texts = {0: "�", 13: "\r"}
+def _special_points() -> str:
+    """Code points that do not stand for themselves in a numeric reference.
+
+    128-159 mean Windows-1252 characters; controls and non-characters give nothing.
+    """
+    texts = dict.fromkeys([*range(1, 9), 11, *range(14, 32), 127, *range(0xFDD0, 0xFDF0)], "")
+    for plane in range(17):
+        texts[plane * 0x10000 + 0xFFFE] = texts[plane * 0x10000 + 0xFFFF] = ""
     for point in range(0x80, 0xA0):
         texts[point] = bytes([point]).decode("cp1252", errors="ignore") or chr(point)
+    texts |= {0: "\ufffd", 13: "\r"}
     return "\x01".join(f"{point}\x02{text}" for point, text in texts.items())
 
 
@@ -88,27 +94,18 @@ def _lookup(table: str, key: Column) -> Column:
 
 
 def _numeric_reference(reference: Column) -> Column:
-    digits = F.regexp_extract(reference, r"^&#[xX]?0*([0-9a-fA-F]*)", 1)
-    based = F.when(
-        reference.rlike("^&#[xX]"), F.conv(digits, 16, 10)
-    ).otherwise(F.conv(digits, 10, 10))
-    # Past seven digits no code point exists in either base.
-    point = F.when(digits == "", F.lit(0)).when(
-        F.length(digits) <= 7, based.try_cast("int")
-    )
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    in_hex = reference.rlike("^&#[xX]")
+    number = F.when(in_hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+    # Past seven digits no code point exists in either base. No digits means zeros.
+    point = F.when(F.length(digits) <= 7, F.coalesce(number.try_cast("int"), F.lit(0)))
 
     def text(p: Column) -> Column:
-        surrogate = p.between(0xD800, 0xDFFF)
-        control = p.between(1, 8) | (p == 11) | p.between(14, 31) | (p == 127)
-        unassigned = p.between(0xFDD0, 0xFDEF) | (F.pmod(p, F.lit(65536)) >= 65534)
-        return (
-            F.when(p.isNull() | surrogate | (p > 0x10FFFF), F.lit("�"))
-            .when(
-                p.isin(0, 13) | p.between(0x80, 0x9F),
-                _lookup(_remapped_points(), p.cast("string")),
-            )
-            .when(control | unassigned, F.lit(""))
-            .otherwise(F.decode(F.unhex(F.lpad(F.hex(p), 8, "0")), "UTF-32"))
+        stands_for_itself = (p <= 0x10FFFF) & ~p.between(0xD800, 0xDFFF)
+        return F.coalesce(
+            _lookup(_special_points(), p.cast("string")),
+            F.when(stands_for_itself, F.decode(F.unhex(F.lpad(F.hex(p), 8, "0")), "UTF-32")),
+            F.lit("\ufffd"),
         )
 
     return bind(point, text)
