@@ -131,10 +131,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def raw_postings(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
+def raw_postings(spark: SparkSession, folder: str) -> DataFrame:
     tables = {name: table(spark, folder, name) for name in _NAMES}
-    if wide:
-        tables["orders"] = spread(tables["orders"])
+    tables["orders"] = spread(tables["orders"])
     return spark.sql(RAW_SQL, **tables)
 
 

@@ -58,8 +58,8 @@ def query(name: str, check: str | None = None) -> Callable[[Job], Job]:
     return register
 
 
-def processed(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
-    return process_postings(raw_postings(spark, folder, wide))
+def processed(spark: SparkSession, folder: str) -> DataFrame:
+    return process_postings(raw_postings(spark, folder))
 
 
 def priced(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,7 +153,7 @@ def _(spark, folder):
         coalesce(company, ''), coalesce(location, ''), array_to_string(skills, ' '))), 'power bi')""",
 )
 def _(spark, folder):
-    return search(processed(spark, folder, wide=True), " Power BI ").select("id")
+    return search(processed(spark, folder), " Power BI ").select("id")
 
 
 # --- text -------------------------------------------------------------------------------
@@ -161,7 +161,7 @@ def _(spark, folder):
 
 @query("clean_title", f"{S.BASE} SELECT id, {S.clean_title('title')} AS title_clean FROM raw")
 def _(spark, folder):
-    return raw_postings(spark, folder, wide=True).select("id", clean_title(F.col("title")).alias("title_clean"))
+    return raw_postings(spark, folder).select("id", clean_title(F.col("title")).alias("title_clean"))
 
 
 @query(
@@ -170,7 +170,7 @@ def _(spark, folder):
     FROM ({S.BASE} SELECT id, {S.clean_description('description')} AS d FROM raw)""",
 )
 def _(spark, folder):
-    rows = raw_postings(spark, folder, wide=True)
+    rows = raw_postings(spark, folder)
     cleaned = rows.select("id", clean_description(F.col("description")).alias("description_clean"))
     return cleaned.withColumn("description_length", F.length("description_clean").cast("bigint"))
 
@@ -234,7 +234,7 @@ def _(spark, folder):
     f"{S.WITH_SKILLS} SELECT id, array_to_string(skills, '|') AS skills FROM posts",
 )
 def _(spark, folder):
-    return processed(spark, folder, wide=True).select("id", joined())
+    return processed(spark, folder).select("id", joined())
 
 
 @query(
@@ -279,7 +279,7 @@ def _(spark, folder):
     f"{S.WITH_SKILLS} SELECT id, array_to_string(skills, '|') AS skills FROM posts",
 )
 def _(spark, folder):
-    rows = raw_postings(spark, folder, wide=True).select(
+    rows = raw_postings(spark, folder).select(
         "id", clean_description(F.col("description")).alias("text")
     )
     return match_dictionary(rows, dictionary_table(spark)).select("id", joined())
@@ -290,7 +290,7 @@ def _(spark, folder):
     f"{S.WITH_SKILLS} SELECT id, {S.COUNTS}, CAST(len(skills) AS BIGINT) AS n_skills_total FROM posts",
 )
 def _(spark, folder):
-    rows = processed(spark, folder, wide=True)
+    rows = processed(spark, folder)
     return rows.select("id", *longs(*count_columns(), "n_skills_total"))
 
 
@@ -306,7 +306,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    rows = processed(spark, folder, wide=True)
+    rows = processed(spark, folder)
     wanted = rows.select("id", F.concat("skills", F.array(F.col("company"), F.lit("Python"))).alias("w"))
     return wanted.select(
         "id",
@@ -324,7 +324,7 @@ demand AS (SELECT m.skill, coalesce(o.category, 'Other') AS category, n AS posti
 
 @query("skill_demand", f"{_DEMAND} SELECT * FROM demand")
 def _(spark, folder):
-    return demand.skill_demand(processed(spark, folder, wide=True))
+    return demand.skill_demand(processed(spark, folder))
 
 
 @query(
@@ -332,12 +332,12 @@ def _(spark, folder):
     f"{_DEMAND} SELECT * FROM demand ORDER BY postings_mentioning DESC, skill LIMIT 20",
 )
 def _(spark, folder):
-    return demand.most_mentioned(demand.skill_demand(processed(spark, folder, wide=True)))
+    return demand.most_mentioned(demand.skill_demand(processed(spark, folder)))
 
 
 @query("skill_demand_category", f"{_DEMAND} SELECT * FROM demand WHERE category = 'Data Engineering'")
 def _(spark, folder):
-    return demand.in_category(demand.skill_demand(processed(spark, folder, wide=True)), "Data Engineering")
+    return demand.in_category(demand.skill_demand(processed(spark, folder)), "Data Engineering")
 
 
 @query(
@@ -345,7 +345,7 @@ def _(spark, folder):
     f"{_DEMAND} SELECT count(*) AS total_distinct_skills FROM demand WHERE category = 'Cloud Platforms'",
 )
 def _(spark, folder):
-    rows = demand.in_category(demand.skill_demand(processed(spark, folder, wide=True)), "Cloud Platforms")
+    rows = demand.in_category(demand.skill_demand(processed(spark, folder)), "Cloud Platforms")
     return rows.agg(F.count("skill").alias("total_distinct_skills"))
 
 
@@ -380,17 +380,17 @@ def _trend_sql(unit: str, only: str = "true") -> str:
 
 @query("skill_trend_week", f"{S.WITH_SKILLS}, {_trend_sql('week')} SELECT * FROM trend")
 def _(spark, folder):
-    return demand.skill_trend(processed(spark, folder, wide=True), "W")
+    return demand.skill_trend(processed(spark, folder), "W")
 
 
 @query("skill_trend_month", f"{S.WITH_SKILLS}, {_trend_sql('month')} SELECT * FROM trend")
 def _(spark, folder):
-    return demand.skill_trend(processed(spark, folder, wide=True), "M")
+    return demand.skill_trend(processed(spark, folder), "M")
 
 
 @query("skill_trend_day", f"{S.WITH_SKILLS}, {_trend_sql('day')} SELECT * FROM trend")
 def _(spark, folder):
-    return demand.skill_trend(processed(spark, folder, wide=True), "D")
+    return demand.skill_trend(processed(spark, folder), "D")
 
 
 _CHOSEN = ["Python", "SQL", "Airflow"]
@@ -399,7 +399,7 @@ _ONLY = "skill IN ('Python', 'SQL', 'Airflow')"
 
 @query("skill_trend_selected", f"{S.WITH_SKILLS}, {_trend_sql('week', _ONLY)} SELECT * FROM trend")
 def _(spark, folder):
-    rows = processed(spark, folder, wide=True)
+    rows = processed(spark, folder)
     return demand.skill_trend(rows, "W", demand.trend_choice(rows, _CHOSEN))
 
 
@@ -413,7 +413,7 @@ _TOP4 = "skill IN (SELECT skill FROM demand ORDER BY postings_mentioning DESC, s
     FROM trend GROUP BY 1""",
 )
 def _(spark, folder):
-    rows = processed(spark, folder, wide=True)
+    rows = processed(spark, folder)
     series = demand.trend_series(demand.skill_trend(rows, "M", demand.trend_choice(rows)))
     shown = F.transform("points", lambda p: F.concat(p["period"], F.lit("="), p["value"].cast("string")))
     return series.select("skill", F.array_join(shown, ",").alias("points"))
@@ -428,7 +428,7 @@ def _(spark, folder):
     FROM grid g LEFT JOIN trend t ON g.period = t.period AND g.skill = t.skill""",
 )
 def _(spark, folder):
-    rows = processed(spark, folder, wide=True)
+    rows = processed(spark, folder)
     return demand.dense_trend(demand.skill_trend(rows, "W", _CHOSEN))
 
 
@@ -634,7 +634,7 @@ def _(spark, folder):
     SELECT skill, {S.pounds('m')} AS median_salary, n AS postings FROM top""",
 )
 def _(spark, folder):
-    return salary.pay_by_skill(processed(spark, folder, wide=True))
+    return salary.pay_by_skill(processed(spark, folder))
 
 
 # --- postings and merges -----------------------------------------------------------------------------
@@ -649,7 +649,8 @@ def _(spark, folder):
       array_to_string(skills[1:8], '|') AS skills, {S.day('created_at')} AS created, redirect_url AS url FROM top""",
 )
 def _(spark, folder):
-    cards = recent_postings(processed(spark, folder))
+    # The newest rows are chosen before their texts are worked on.
+    cards = recent_postings(process_postings(newest(raw_postings(spark, folder))))
     return cards.withColumn("skills", F.array_join("skills", "|"))
 
 
@@ -745,7 +746,7 @@ def _(spark, folder):
     FROM posts WHERE pay IS NOT NULL""",
 )
 def _(spark, folder):
-    rows = feature_table(processed(spark, folder, wide=True), ("id",))
+    rows = feature_table(processed(spark, folder), ("id",))
     return rows.select("id", *FEATURES, F.round("log_salary", 6).alias("log_salary"))
 
 

@@ -23,8 +23,7 @@ def numeric_column(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.StringType):
         return text_to_number(F.col(name))
     if isinstance(kind, (T.NumericType, T.BooleanType)):
-        number = F.col(name).cast("double")
-        return F.when(~F.isnan(number), number)
+        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
     return F.lit(None).cast("double")
 
 

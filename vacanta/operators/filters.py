@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacanta.fixed_values import FILTER_COLUMNS, SALARY_CEILING, SALARY_FLOOR
-from vacanta.functions.text import is_blank
+from vacanta.functions.text import bind, is_blank
 from vacanta.functions.values import numeric_column, text_column
 
 Selections = Mapping[str, Sequence[str]]
@@ -70,7 +70,7 @@ def search(df: DataFrame, query: str) -> DataFrame:
 
 def plausible(salary: Column) -> Column:
     """``salary`` where it can be an annual salary, else null."""
-    return F.when(salary.between(SALARY_FLOOR, SALARY_CEILING), salary)
+    return bind(salary, lambda s: F.when(s.between(SALARY_FLOOR, SALARY_CEILING), s))
 
 
 def plausible_salary(df: DataFrame, name: str = "salary_midpoint") -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacanta.fixed_values import SKILL_DICTIONARY
 from vacanta.functions.skills import Dictionary, category_counts, skills_in
-from vacanta.functions.text import clean_description, clean_title
+from vacanta.functions.text import bind, clean_description, clean_title
 from vacanta.functions.titles import role_category, seniority
 from vacanta.functions.values import numeric_column, text_column
 from vacanta.sources.schema import require_columns
@@ -29,8 +29,13 @@ def add_category_counts(
 def add_salary_midpoint(df: DataFrame) -> DataFrame:
     """Salary bounds as numbers, and the mean of those that exist."""
     bounds = df.withColumns({n: numeric_column(df, n) for n in ("salary_min", "salary_max")})
-    low, high = F.col("salary_min"), F.col("salary_max")
-    return bounds.withColumn("salary_midpoint", F.coalesce((low + high) / 2, low, high))
+    both = F.struct("salary_min", "salary_max")
+
+    def mean(pair: Column) -> Column:
+        low, high = pair["salary_min"], pair["salary_max"]
+        return F.coalesce((low + high) / 2, low, high)
+
+    return bounds.withColumn("salary_midpoint", bind(both, mean))
 
 
 def process_postings(
