@@ -114,11 +114,33 @@ SELECT concat('n', id) AS id, title, company, location, region, description,
 FROM {raw} WHERE CAST(id AS BIGINT) % 5 = 0
 """
 
+# Schemas of the supplied tables: no job to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+}
+
 _NAMES = ["orders", "customer", "nation", "region"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    return use_utc(spark).read.schema(SCHEMAS[name]).parquet(
+        f"{folder}/{name}.parquet"
+    )
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -52,38 +52,41 @@ def parse_adverts(df: DataFrame, text: str, query: Column, collected_at: Column)
 
 
 def _scan_adverts(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Lines below ``path/query=<words>/`` parsed, with the words and the file's facts.
+
+    Lines are read as text and parsed here, so that a line that is not JSON can be
+    told apart whatever columns the caller goes on to use.
+    """
     source = spark.readStream if streaming else spark.read
-    schema = T.StructType(
-        [*ADVERT.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("query", T.StringType())]
-    )
-    return (
-        source.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
+    schema = T.StructType([*ADVERT.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = source.schema("value string, query string").text(path)
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return lines.filter(F.trim("value") != "").select(
+        "query",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_modification_time").alias("_written"),
+        parsed.alias("_advert"),
     )
 
 
 def read_searches(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Every search below ``path/query=<words>/`` as one raw table.
+    """Every search below ``path`` as one raw table.
 
-    Records that are not JSON are left out and do not fail the others; see
+    Lines that are not JSON are left out and do not fail the others; see
     :func:`rejected_records`. The collection time is the file's write time.
     """
-    adverts = _scan_adverts(spark, path, streaming)
-    stamped = adverts.select("*", F.col("_metadata.file_modification_time").alias("_seen"))
-    good = stamped.filter(F.col(CORRUPT).isNull())
-    return flatten_adverts(good, F.col("query"), F.col("_seen").cast("string"))
+    good = _scan_adverts(spark, path, streaming).filter(F.col(f"_advert.{CORRUPT}").isNull())
+    adverts = good.select("query", "_written", "_advert.*")
+    return flatten_adverts(adverts, F.col("query"), F.col("_written").cast("string"))
 
 
 def rejected_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records below ``path`` that are not JSON, with their search and file."""
-    # Reading a data column too makes the parser run on every record.
+    """Lines below ``path`` that are not JSON: ``(query, file, record)``."""
+    record = F.col(f"_advert.{CORRUPT}")
     return (
         _scan_adverts(spark, path)
-        .select("query", F.col("_metadata.file_path").alias("file"), CORRUPT, "id")
-        .filter(F.col(CORRUPT).isNotNull())
-        .drop("id")
+        .filter(record.isNotNull())
+        .select("query", F.col("_file").alias("file"), record.alias("record"))
     )
 
 
@@ -98,7 +101,7 @@ def split_skills(c: Column) -> Column:
 
 
 def read_processed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Processed postings written by ``write_processed_csv``; ``schema`` is theirs."""
+    """Processed postings written by ``write_csv``; ``schema`` is theirs."""
     as_text = T.StructType(
         [
             T.StructField(f.name, T.StringType()) if _reads_from_text(f) else f

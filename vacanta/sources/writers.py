@@ -10,19 +10,26 @@ from vacanta.fixed_values import SKILL_SEPARATOR
 from vacanta.functions.values import finite_or_null
 
 
-def write_processed_csv(df: DataFrame, path: str) -> None:
-    """CSV with list columns joined by the separator."""
+# White space at the ends of a value is data. CSV reads '' and null both as null.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with list columns joined by the separator, for raw and processed postings."""
     joined = {
         f.name: F.array_join(f.name, SKILL_SEPARATOR)
         for f in df.schema
         if isinstance(f.dataType, T.ArrayType)
     }
-    (
-        df.withColumns(joined)
-        .write.mode("errorifexists")
-        .options(header=True, quote='"', escape='"', timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-        .csv(path)
-    )
+    flat = df.withColumns(joined) if joined else df
+    flat.write.mode("errorifexists").options(**_CSV).csv(path)
 
 
 def json_ready(c: Column, kind: T.DataType) -> Column:
