@@ -86,24 +86,21 @@ def pay_by_skill(
 ) -> DataFrame:
     """Median salary of the ``limit`` skills with most salaried postings.
 
-    Skills are first only counted; the medians are then taken for the chosen few.
+    The counts per skill and value serve both the sizes and the medians, so the lists
+    are read and exploded once.
     """
     paid = df.select(
         F.col("skills"), plausible_salary(df, salary).alias("_salary")
     ).filter(F.col("_salary").isNotNull())
     pairs = paid.select(exploded("skills"), "_salary").filter(F.col("skill").isNotNull())
-    chosen = (
-        pairs.groupBy("skill")
-        .agg(F.count(F.lit(1)).alias("postings"))
-        .filter(F.col("postings") >= least)
-        .orderBy(F.desc("postings"), "skill")
+    largest = (
+        medians(pairs, ["skill"], "_salary")
+        .filter(F.col("count") >= least)
+        .orderBy(F.desc("count"), "skill")
         .limit(limit)
     )
-    names = chosen.agg(F.collect_list("skill")).scalar()
-    kept = pairs.filter(F.array_contains(names, F.col("skill")))
-    return medians(kept, ["skill"], "_salary").select(
+    return largest.orderBy(F.desc("median"), "skill").select(
         "skill",
         rounded_pounds(F.col("median")).alias("median_salary"),
-        F.col("median").alias("_median"),
         F.col("count").alias("postings"),
-    ).orderBy(F.desc("_median"), "skill").drop("_median")
+    )
