@@ -42,39 +42,46 @@ def _constant_list(texts: list[str]) -> Column:
     return F.split(F.lit("\x01".join(texts)), "\x01")
 
 
+def _spellings_by_start(dictionary: Dictionary) -> dict[str, list[tuple[str, str]]]:
+    """First token -> (skill, phrase form) of its spellings, '' if it is the only token."""
+    by_start: dict[str, list[tuple[str, str]]] = {}
+    for skills in dictionary.values():
+        for skill, spellings in skills.items():
+            for spelling in spellings:
+                words = _SPELLING_TOKEN.findall(spelling.lower())
+                if words:
+                    phrase = f" {' '.join(words)} " if len(words) > 1 else ""
+                    by_start.setdefault(words[0], []).append((skill, phrase))
+    return by_start
+
+
 def skills_in(text: Column, dictionary: Dictionary = SKILL_DICTIONARY) -> Column:
     """Sorted distinct skills whose spellings occur in ``text``; no shuffle.
 
     One pass over the tokens keeps those that begin a spelling (a hash lookup each).
-    Only spellings whose first token was kept are then searched for in the text, and
-    only if they have further tokens. ``text`` is evaluated once.
+    Only the spellings under a kept token are then searched for in the text.
+    ``text`` is evaluated once.
     """
-    spelled = sorted(
-        (skill, tuple(_SPELLING_TOKEN.findall(spelling.lower())))
-        for skills in dictionary.values()
-        for skill, spellings in skills.items()
-        for spelling in spellings
-    )
-    spelled = [(skill, words) for skill, words in spelled if words]
-    if not spelled:
+    by_start = _spellings_by_start(dictionary)
+    if not by_start:
         return F.array().cast("array<string>")
-    spellings = F.arrays_zip(
-        _constant_list([skill for skill, _ in spelled]).alias("skill"),
-        _constant_list([words[0] for _, words in spelled]).alias("start"),
-        # '' stands for a spelling of one token, which its start already decides.
-        _constant_list([f" {' '.join(w)} " if len(w) > 1 else "" for _, w in spelled]).alias(
-            "phrase"
-        ),
+    # One map literal: first token -> its spellings, each as skill and phrase.
+    table = "\x01".join(
+        f"{start}\x02" + "\x03".join(f"{skill}\x04{phrase}" for skill, phrase in entries)
+        for start, entries in by_start.items()
     )
-    starts = sorted({words[0] for _, words in spelled})
+    entries_of = F.str_to_map(F.lit(table), F.lit("\x01"), F.lit("\x02"))
+    starts = sorted(by_start)
 
     def found(seen: Column) -> Column:
-        hits = F.filter(
-            spellings,
-            lambda s: F.array_contains(seen["starts"], s["start"])
-            & F.contains(seen["form"], s["phrase"]),
-        )
-        return F.array_distinct(F.transform(hits, lambda s: s["skill"]))
+        def under(start: Column) -> Column:
+            entries = F.split(F.try_element_at(entries_of, start), "\x03")
+            hits = F.filter(
+                entries, lambda e: F.contains(seen["form"], F.substring_index(e, "\x04", -1))
+            )
+            return F.transform(hits, lambda e: F.substring_index(e, "\x04", 1))
+
+        return F.sort_array(F.array_distinct(F.flatten(F.transform(seen["starts"], under))))
 
     def scanned(words: Column) -> Column:
         kept = F.array_distinct(F.filter(words, lambda word: word.isin(starts)))
