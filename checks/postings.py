@@ -95,7 +95,7 @@ JOIN {{nation}} n ON c_nationkey = n_nationkey
 JOIN {{region}} r ON n_regionkey = r_regionkey
 """
 
-# A second sighting of part of the postings, some of them earlier than the first.
+# A second sighting of every posting, up to three days before or after the first.
 AGAIN_SQL = """
 SELECT id, title, concat(company, ' again') AS company, location, region, description,
        salary_min, salary_max, salary_is_predicted, contract_type, contract_time, category,
@@ -103,15 +103,15 @@ SELECT id, title, concat(company, ' again') AS company, location, region, descri
        concat(CAST(CAST(substring(collected_at, 1, 10) AS DATE)
                    + CAST(CAST(id AS BIGINT) % 7 - 3 AS INT) AS STRING), 'T08:00:00Z')
            AS collected_at
-FROM {raw} WHERE CAST(id AS BIGINT) % 3 = 0
+FROM {raw}
 """
 
-# Postings under ids not seen before.
+# The same number of postings under ids not seen before.
 FRESH_SQL = """
 SELECT concat('n', id) AS id, title, company, location, region, description,
        salary_min, salary_max, salary_is_predicted, contract_type, contract_time, category,
        created, redirect_url, query, collected_at
-FROM {raw} WHERE CAST(id AS BIGINT) % 5 = 0
+FROM {raw}
 """
 
 # Schemas of the supplied tables: no job to infer them.
