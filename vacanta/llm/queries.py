@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, fertility
+from vacanta.llm import bpe, fertility, histogram_sort
+from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -48,6 +49,34 @@ def op1_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SHARDS = 16
+
+
+@job
+def op2_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards of near equal bytes; equal texts are neighbours in the sort order."""
+    text = F.coalesce("text", F.lit(""))
+    narrow = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        histogram_sort.hash_key(text).alias("k1"),
+        histogram_sort.hash_key(F.col("doc_id")).alias("k2"),
+    )
+    path = scratch_path(spark, "histogram-keys")
+    narrow.write.parquet(path)
+    placed = histogram_sort.histogram_shards(spark.read.parquet(path), SHARDS)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @job
 def op5_monoid_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes they decode to."""
