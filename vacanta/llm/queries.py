@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, fertility, histogram_sort
+from vacanta.llm import bpe, decontamination, fertility, histogram_sort
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,13 @@ def op5_monoid_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_texts(
         table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN
     )
+
+
+@job
+def op7_prefix_filtered_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside an occurrence of a benchmark window."""
+    found = decontamination.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    items = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
