@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, decontamination, fertility, histogram_sort
+from vacanta.llm import bpe, decontamination, fertility, histogram_sort, secret_ledger
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,27 @@ def op7_prefix_filtered_join(spark: SparkSession, folder: str) -> DataFrame:
     )
     items = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+@job
+def op8_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, each distinct content scanned once."""
+    found = secret_ledger.scan_versions(
+        table(spark, folder, "documents"), scratch_path(spark, "secret-ledger")
+    )
+
+    def joined(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end))
+        return F.array_join(parts, ",")
+
+    base = F.filter("spans", lambda s: s.kind.isin(*secret_ledger.BASE))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, secret_ledger.BASE),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
