@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, decontamination, fertility, histogram_sort, secret_ledger
+from vacanta.llm import bpe, decontamination, fertility, histogram_sort, pseudonyms, secret_ledger
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,21 @@ def op2_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# In production the key comes from a secret store; here it only has to be the same.
+PSEUDONYM_KEY = "test-key"
+
+
+@job
+def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text with valid values replaced, and how many of each kind."""
+    found = pseudonyms.pseudonymised(table(spark, folder, "documents"), PSEUDONYM_KEY)
+
+    def number(kind: str):
+        return F.size(F.filter("pii", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", "text", *map(number, pseudonyms.KINDS))
+
+
 @job
 def op5_monoid_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes they decode to."""
