@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, decontamination, fertility, histogram_sort, pseudonyms, secret_ledger
+from vacanta.llm import bpe, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,14 @@ def op8_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+FREE_ID = 50_256  # no token of the vocabulary has it
+
+
+@job
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as packed id matrices, with segment ends and position resets."""
+    return packing.packed_rows(
+        table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN, FREE_ID
+    )
