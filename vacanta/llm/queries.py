@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger
+from vacanta.llm import bpe, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, toxicity
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,9 +23,31 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives Python workers this package where their path does not have it.
+
+    Spark sends the archive to every executor, as with ``--py-files``.
+    """
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_vacanta", False):
+        return
+    archive = Path(tempfile.mkdtemp()) / "vacanta.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in root.glob("vacanta/**/*.py"):
+            packed.write(module, module.relative_to(root))
+    context.addPyFile(str(archive))
+    context._vacanta = True
+
+
 def job(function: Callable[[SparkSession, str], DataFrame]):
-    JOBS[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return function(spark, folder)
+
+    JOBS[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -100,6 +127,21 @@ def op5_monoid_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@job
+def op6_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of all documents; a fifth of the ids is never learned from."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(~held_out)
+    model = toxicity.train(documents.join(labels, "doc_id"))
+    return toxicity.scored(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @job
 def op7_prefix_filtered_join(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside an occurrence of a benchmark window."""
