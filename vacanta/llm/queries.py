@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, toxicity
+from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, toxicity
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +119,12 @@ def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", *map(number, pseudonyms.KINDS))
 
 
+@job
+def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near-duplicates of every document, with sizes and links."""
+    return dart_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @job
 def op5_monoid_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes they decode to."""
