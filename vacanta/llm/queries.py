@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, toxicity
+from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, suffix_dedup, toxicity
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,17 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_rows(
         table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN, FREE_ID
     )
+
+
+@job
+def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without bytes of repeated 400-byte strings."""
+    found = suffix_dedup.repeated_spans(table(spark, folder, "documents"))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
