@@ -178,11 +178,12 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, n_copies, n_links.
+    """One row per document: doc_id, class_id, class_size, n_copies, n_links, text_md5, first.
 
     ``class_id`` is the smallest id of the documents that links connect, ``n_copies`` the
     documents of equal text (itself included), ``n_links`` the number of other texts found
-    similar to its own. ``weighted`` weighs a shingle by its number of occurrences, in
+    similar to its own. ``first`` is true for the document that stands for its class: the
+    one whose id is ``class_id``, in a class without ids those of its smallest digest. ``weighted`` weighs a shingle by its number of occurrences, in
     signature and check; otherwise every distinct shingle weighs 1.
 
     A null text counts as empty; texts without words are linked only to equal texts. A
@@ -259,6 +260,26 @@ def near_duplicates(
         .select("key", "least", "n_copies", F.coalesce("component", "key").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     counted = kept("classes", counted)
-    whole_class = counted.groupBy("class").agg(F.min("least").alias("class_id"), F.sum("n_copies").alias("class_size"))
-    by_key = counted.join(whole_class, "class").select("key", "class_id", "class_size", "n_copies", "n_links")
-    return members.join(by_key, "key").select("doc_id", "class_id", "class_size", "n_copies", "n_links")
+    # The first text of a class: smallest id, then smallest digest, texts without ids last.
+    order = F.struct(F.col("least").isNull().alias("none"), "least", "key")
+    whole_class = counted.groupBy("class").agg(
+        F.min(order).alias("of"), F.sum("n_copies").alias("class_size")
+    )
+    by_key = counted.join(whole_class, "class").select(
+        "key",
+        F.col("of.least").alias("class_id"),
+        F.col("of.key").alias("first_key"),
+        "class_size",
+        "n_copies",
+        "n_links",
+    )
+    first = (F.col("key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    return members.join(by_key, "key").select(
+        "doc_id",
+        "class_id",
+        "class_size",
+        "n_copies",
+        "n_links",
+        F.col("key").alias("text_md5"),
+        first.alias("first"),
+    )

@@ -122,7 +122,9 @@ def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 @job
 def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near-duplicates of every document, with sizes and links."""
-    return dart_minhash.near_duplicates(table(spark, folder, "documents"))
+    return dart_minhash.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "class_size", "n_copies", "n_links"
+    )
 
 
 @job
