@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 8
 WHOLE = 8
 CACHED_WORDS = 500_000
+# So many text digests of 16 bytes may be broadcast.
+BROADCAST_TEXTS = 500_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -233,6 +235,8 @@ def near_duplicates(
     pairs = kept("pairs", stars.unionByName(whole).distinct())
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    if needed.count() <= BROADCAST_TEXTS:  # else texts and keys meet by a shuffle
+        needed = F.broadcast(needed)
     texts = (
         keyed.select("key", "text")
         .join(needed, "key", "left_semi")
