@@ -22,7 +22,7 @@ def labelled(workers, n=400):
 
 def test_held_out_rows_are_told_apart(workers):
     rows = labelled(workers)
-    model = toxicity.train(rows.filter("doc_id < 300"))
+    model = toxicity.train(rows.filter("doc_id < 300"), rows)
     scored = toxicity.scored(rows.filter("doc_id >= 300"), model, keep=("doc_id", "toxic")).collect()
     toxic = [r.score for r in scored if r.toxic]
     clean = [r.score for r in scored if not r.toxic]
@@ -32,7 +32,7 @@ def test_held_out_rows_are_told_apart(workers):
 
 def test_spark_scores_equal_plain_scores(workers):
     rows = labelled(workers, 200)
-    model = toxicity.train(rows)
+    model = toxicity.train(rows, rows)
     for r in toxicity.scored(rows, model, keep=("text",)).collect():
         grams = set(toxicity.buckets_of(r.text).tolist())
         margin = model.bias + sum(model.weights[g] for g in sorted(grams))
@@ -54,12 +54,12 @@ def test_unseen_ngram_has_no_ratio():
 
 def test_without_both_classes(workers, build, odd):
     none = workers.createDataFrame([], "doc_id long, text string, toxic int")
-    assert toxicity.score_text("x", toxicity.train(none)) == 0.5
+    assert toxicity.score_text("x", toxicity.train(none, none)) == 0.5
     one = workers.createDataFrame([(1, "x", 1), (2, "y", 1), (3, "z", None)], "doc_id long, text string, toxic int")
-    assert toxicity.score_text("x", toxicity.train(one)) > 0.5
-    rows = toxicity.scored(build(odd), toxicity.train(labelled(workers, 80))).collect()
+    assert toxicity.score_text("x", toxicity.train(one, one)) > 0.5
+    rows = toxicity.scored(build(odd), toxicity.train(labelled(workers, 80), labelled(workers, 80))).collect()
     assert len(rows) == len(odd) and all(0 <= r.score <= 1 for r in rows)
-    assert toxicity.scored(build([]), toxicity.train(none)).collect() == []
+    assert toxicity.scored(build([]), toxicity.train(none, none)).collect() == []
 
 
 def test_query(workers):

@@ -141,7 +141,7 @@ def op6_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(~held_out)
-    model = toxicity.train(documents.join(labels, "doc_id"))
+    model = toxicity.train(labels, documents)
     return toxicity.scored(documents, model).select(
         "doc_id",
         held_out.alias("held_out"),

@@ -7,7 +7,7 @@ counts could be chance are left out. A logistic regression with an L2 penalty is
 features. Its weights and the ratios multiply to one table of fixed size for scoring.
 
 Training uses at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` clean labelled rows, those
-with the smallest hash of their id; rows are weighted so that the share of toxic ones is
+with the smallest hash of their key; rows are weighted so that the share of toxic ones is
 that of all labelled training rows. Everything the driver and the one fitting task see is
 bounded by these numbers and by ``BUCKETS``. Scoring covers every whole text in one pass
 without a shuffle.
@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacanta.session import scratch_path
+
 ORDERS = (4, 5, 6)
 BUCKETS = 1 << 18
 TOXIC_ROWS = 4_000
@@ -116,15 +118,26 @@ def fit_weights(
     return Model(weights, float(bias + w[-1]))
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
-    """A model of labelled rows; rows with null or other labels than 0 and 1 are left out.
+def train(
+    labels: DataFrame,
+    documents: DataFrame,
+    text: str = "text",
+    label: str = "toxic",
+    key: str = "doc_id",
+) -> Model:
+    """A model of the documents that ``labels`` (key and label) marks 0 or 1.
 
-    Rows of a repeated key count each. Without rows of both classes the model scores every
-    text with the share of toxic rows, or 0.5 without any row.
+    The sample is drawn from the labels alone and has at most ``TOXIC_ROWS`` +
+    ``CLEAN_ROWS`` rows, so its keys may go to every task that reads documents, and only
+    the sampled texts move. Null or other labels, null keys and keys without a document
+    are left out; rows of a repeated key count each. Without rows of both classes the
+    model scores every text with the share of toxic rows, or 0.5 without any row.
     """
-    rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("y"))
-    rows = rows.filter(F.col("y").isin(0, 1))
-    totals = {r.y: r["count"] for r in labelled.filter(F.col(label).cast("int").isin(0, 1)).groupBy(F.col(label).cast("int").alias("y")).count().collect()}
+    spark = documents.sparkSession
+    rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).filter(
+        F.col("y").isin(0, 1) & F.col("key").isNotNull()
+    )
+    totals = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
@@ -139,8 +152,15 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: st
             some = some.filter(F.col("at") < int((1 << 30) * 2.0 * n / total))
         return some.orderBy("at", "key").limit(n).drop("at")
 
-    chosen = sample(1, TOXIC_ROWS, n_toxic).unionByName(sample(0, CLEAN_ROWS, n_clean))
-    chosen = chosen.repartition(12, "key")
+    drawn = sample(1, TOXIC_ROWS, n_toxic).unionByName(sample(0, CLEAN_ROWS, n_clean))
+    path = scratch_path(spark, "toxicity-sample")
+    (
+        documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+        .join(F.broadcast(drawn), "key")
+        .repartition(12, "key")
+        .write.parquet(path)
+    )
+    chosen = spark.read.parquet(path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros((2, BUCKETS), dtype=np.int64)
@@ -157,14 +177,14 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: st
         .filter(F.col("clean") + F.col("toxic") >= MIN_TEXTS)
         .toPandas()  # at most BUCKETS rows
     )
-    sampled = {1: min(n_toxic, TOXIC_ROWS), 0: min(n_clean, CLEAN_ROWS)}
+    found = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
+    sampled = {y: max(1, found.get(y, 0)) for y in (0, 1)}
     both = np.zeros((2, BUCKETS))
     both[0, counts["bucket"]], both[1, counts["bucket"]] = counts["clean"], counts["toxic"]
     ratios = log_count_ratios(both[1], both[0], sampled[1], sampled[0])
     ratios[(both.sum(axis=0) < MIN_TEXTS) | (np.abs(ratios) < MIN_RATIO)] = 0
     ratios[evidence(both[1], both[0], sampled[1], sampled[0]) < MIN_EVIDENCE] = 0
 
-    spark = labelled.sparkSession
     sent = spark.sparkContext.broadcast(ratios)  # BUCKETS doubles
     weight = {y: totals[y] / sampled[y] for y in (0, 1)}
 
