@@ -139,9 +139,10 @@ def train(
     )
     totals = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
+    share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
+    constant = Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
     if not n_toxic or not n_clean:
-        share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
-        return Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
+        return constant
 
     # The rows of smallest hash: hashes below a bound that lets about twice the number pass
     # first, so the sort that takes exactly that number sees few rows.
@@ -178,7 +179,9 @@ def train(
         .toPandas()  # at most BUCKETS rows
     )
     found = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
-    sampled = {y: max(1, found.get(y, 0)) for y in (0, 1)}
+    sampled = {y: found.get(y, 0) for y in (0, 1)}
+    if not all(sampled.values()):
+        return constant
     both = np.zeros((2, BUCKETS))
     both[0, counts["bucket"]], both[1, counts["bucket"]] = counts["clean"], counts["toxic"]
     ratios = log_count_ratios(both[1], both[0], sampled[1], sampled[0])
