@@ -5,6 +5,8 @@ Everything they write goes below the shared folder, to a path no other run uses.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from checks.queries import (
     query,
 )
 from vacanta.functions.skills import count_columns
+from vacanta.functions.values import timestamp_column
+from vacanta.operators.counts import value_counts
 from vacanta.operators.features import fill_features
 from vacanta.operators.processing import process_postings
 from vacanta.plans import refresh, reports, scoring, training
@@ -41,7 +45,6 @@ from vacanta.sources.readers import (
 from vacanta.sources.writers import as_json, write_csv
 from vacanta.streaming.ingest import ingest
 from vacanta.streaming.live_counts import (
-    first_sightings,
     keep_counts,
     latest_counts,
     weekly_mentions,
@@ -152,11 +155,52 @@ def _(spark, folder):
     SELECT id, company, {S.clean_title('title')} AS title_clean, collected_at FROM raw_first""",
 )
 def _(spark, folder):
-    store, target = scratch_path(spark, "store"), scratch_path(spark, "store")
+    store = scratch_path(spark, "store")
     refresh.refresh(raw_postings(spark, folder), store)
     refresh.refresh(seen_again(spark, folder), store)
-    refresh.compact(spark, store, target)
-    return refresh.current(spark, target).select("id", "company", "title_clean", "collected_at")
+    refresh.compact(spark, store)
+    return refresh.current(spark, store).select("id", "company", "title_clean", "collected_at")
+
+
+@query(
+    "refresh_then_stream",
+    f"""{_SEEN} SELECT id, company, collected_at FROM raw
+    UNION ALL SELECT id, company, collected_at FROM fresh""",
+)
+def _(spark, folder):
+    """A refresh and a stream with a checkpoint of its own, on one store."""
+    store = scratch_path(spark, "store")
+    refresh.refresh(fresh_postings(spark, folder), store)
+    ingest(streamed_postings(spark, folder), store, scratch_path(spark, "stream-log")).awaitTermination()
+    return refresh.current(spark, store).select("id", "company", "collected_at")
+
+
+@query(
+    "two_writers",
+    f"""{_SEEN} SELECT id, collected_at FROM raw UNION ALL SELECT id, collected_at FROM fresh""",
+)
+def _(spark, folder):
+    """Two refreshes at the same time, then a compaction: no row is lost."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = scratch_path(spark, "store")
+    rows = [process_postings(x) for x in (raw_postings(spark, folder), fresh_postings(spark, folder))]
+    with ThreadPoolExecutor(2) as threads:
+        list(threads.map(lambda r: refresh.write_batch(r, store), rows))
+    refresh.compact(spark, store)
+    return refresh.current(spark, store).select("id", "collected_at")
+
+
+@query(
+    "report_over_store",
+    f"""{_SEEN}, sightings AS (SELECT *, 0 AS source_rank FROM raw UNION ALL SELECT *, 1 FROM again), {_FIRST}
+    SELECT location AS label, count(*) AS count FROM ranked WHERE place = 1 GROUP BY 1""",
+)
+def _(spark, folder):
+    store = scratch_path(spark, "store")
+    refresh.refresh(raw_postings(spark, folder), store)
+    refresh.refresh(seen_again(spark, folder), store)
+    return value_counts(refresh.current(spark, store), "location")
 
 
 def streamed_postings(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,12 +228,27 @@ def _(spark, folder):
     )
 
 
+def _deliveries(spark: SparkSession, rows: DataFrame, by) -> DataFrame:
+    """The rows as a stream of three files, each its own micro-batch, the latest week first."""
+    path = scratch_path(spark, "deliveries")
+    for number in (2, 0, 1):
+        rows.filter(by == number).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query("stream_skill_counts", f"{S.WITH_SKILLS}, {_trend_sql('week')} SELECT * FROM trend")
 def _(spark, folder):
+    """Every posting twice: a later sighting is counted first and gives way to the first one."""
     store = scratch_path(spark, "stream-counts")
-    live = first_sightings(process_postings(streamed_postings(spark, folder)), "30 days")
-    keep_counts(weekly_mentions(live), store, scratch_path(spark, "stream-log")).awaitTermination()
-    return latest_counts(spark, store, ["period", "skill"], "mentions")
+    rows = processed(spark, folder).select("id", "collected_at", "skills")
+    later = F.date_format(timestamp_column(rows, "collected_at") + F.expr("INTERVAL 20 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    both = rows.withColumn("again", F.lit(False)).unionByName(
+        rows.withColumn("collected_at", later).withColumn("again", F.lit(True))
+    )
+    turn = F.when(F.col("again"), 2).otherwise(F.pmod(F.xxhash64("id"), F.lit(2)))
+    stream = _deliveries(spark, both, turn).drop("again")
+    keep_counts(stream, weekly_mentions, store, scratch_path(spark, "stream-log")).awaitTermination()
+    return latest_counts(spark, store, ["period", "skill"]).withColumnRenamed("count", "mentions")
 
 
 @query(
@@ -197,17 +256,17 @@ def _(spark, folder):
     """SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS period, count(*) AS count FROM events GROUP BY 1""",
 )
 def _(spark, folder):
-    events = (
-        use_utc(spark)
-        .readStream.schema(SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-        .select(F.col("event_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("created"))
+    """A third of the events without an id; weeks are spread over three deliveries."""
+    rows = table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 3 > 0, F.col("event_id").cast("string")).alias("id"),
+        F.col("ts").cast("timestamp").alias("collected_at"),
+        F.pmod(F.dayofyear("ts"), F.lit(3)).alias("turn"),
     )
     store = scratch_path(spark, "stream-counts")
-    live = first_sightings(events, "1 day", "created")
-    keep_counts(weekly_postings(live), store, scratch_path(spark, "stream-log")).awaitTermination()
-    return latest_counts(spark, store, ["period"], "count")
+    stream = _deliveries(spark, rows, F.col("turn")).drop("turn")
+    counting = partial(weekly_postings, date="collected_at")
+    keep_counts(stream, counting, store, scratch_path(spark, "stream-log")).awaitTermination()
+    return latest_counts(spark, store, ["period"])
 
 
 # --- reports -----------------------------------------------------------------------------

@@ -1,14 +1,22 @@
 import json
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from conftest import raw_row
+from tests.conftest import raw_row
 from pyspark.sql import functions as F
 
-from vacanta.operators.counts import dataset_summary, health, processing_summary
+from vacanta.operators.counts import (
+    dataset_summary,
+    health,
+    processing_summary,
+    value_counts,
+)
 from vacanta.operators.dedupe import first_seen, merge_counts, merge_postings, new_ids
 from vacanta.operators.processing import process_postings
 from vacanta.plans import refresh as store_jobs
 from vacanta.session import scratch_path
+from vacanta.sources import commits
 from vacanta.sources.readers import (
     parse_adverts,
     read_processed_csv,
@@ -20,6 +28,7 @@ from vacanta.sources.readers import (
 from vacanta.sources.schema import require_columns
 from vacanta.sources.writers import as_json, write_csv
 from vacanta.streaming.ingest import ingest
+from vacanta.streaming.live_counts import keep_counts, latest_counts, weekly_mentions
 
 
 def test_earliest_sighting_wins(spark):
@@ -91,9 +100,10 @@ def test_refresh(spark, raw, store):
     assert rows["existing-1"].collected_at.startswith("2026-08-01")
     new = rows["new-1"]
     assert (new.role_category, new.salary_midpoint, new.skills) == ("Data Engineer", 65000, ["AWS", "Python", "SQL"])
-    target = scratch_path(spark, "test-store")
-    store_jobs.compact(spark, store, target)
-    assert {r.id: r for r in store_jobs.current(spark, target).collect()} == rows
+    store_jobs.compact(spark, store)
+    assert len(commits.committed(spark, store)) == 1
+    assert {r.id: r for r in store_jobs.current(spark, store).collect()} == rows
+    assert tuple(store_jobs.refresh(raw(raw_row("new-2")), store).first()) == (1, 3)
 
 
 def test_an_earlier_sighting_replaces_a_later_one(spark, raw, store):
@@ -105,15 +115,70 @@ def test_an_earlier_sighting_replaces_a_later_one(spark, raw, store):
 def test_batch_written_twice_counts_once(spark, raw, store):
     rows = process_postings(raw(raw_row("x"), raw_row("y")))
     for _ in range(2):
-        store_jobs.write_batch(rows, store, 7)
-    assert tuple(store_jobs.batch_counts(spark, store, 7).first()) == (2, 3)
+        store_jobs.write_batch(rows, store, "w-7")
+    assert tuple(store_jobs.batch_counts(spark, store, "w-7").first()) == (2, 3)
     assert store_jobs.sightings(spark, store).count() == 3
 
 
+def test_a_dead_try_is_not_read_and_is_replaced(spark, raw, store):
+    rows = process_postings(raw(raw_row("x")))
+    rows.write.parquet(f"{store}/rows/w-1")  # no commit followed
+    assert store_jobs.current(spark, store).count() == 1
+    store_jobs.write_batch(process_postings(raw(raw_row("y"))), store, "w-1")
+    assert {r.id for r in store_jobs.current(spark, store).collect()} == {"existing-1", "y"}
+
+
+def test_writers_do_not_overwrite_each_other(spark, raw, store):
+    with ThreadPoolExecutor(4) as threads:
+        batches = [process_postings(raw(raw_row(f"w{n}"))) for n in range(4)]
+        list(threads.map(lambda rows: store_jobs.write_batch(rows, store), batches))
+    assert store_jobs.current(spark, store).count() == 5
+
+
+def test_batch_committed_during_a_compaction_stays(spark, raw, store):
+    store_jobs.refresh(raw(raw_row("a")), store)
+    listed = commits.committed(spark, store)
+    store_jobs.refresh(raw(raw_row("b")), store)
+    old = store_jobs.sightings(spark, store, batches=listed).drop(commits.ORDER, commits.BATCH)
+    commits.commit(old, store, "c", order=listed[0].order, replaces=tuple(b.name for b in listed))
+    assert {r.id for r in store_jobs.current(spark, store).collect()} == {"existing-1", "a", "b"}
+
+
+def test_report_over_the_store_reads_few_columns_once(spark, raw, store):
+    store_jobs.refresh(raw(raw_row("a"), raw_row(None)), store)
+    plan = value_counts(store_jobs.current(spark, store), "company")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert {x.split(":")[0] for x in schema.split(",")} == {"id", "company", "collected_at"}
+
+
 def test_empty_store(spark):
     path = scratch_path(spark, "nothing")
     assert store_jobs.current(spark, path).count() == 0
-    assert store_jobs.next_batch(spark, path) == 0
+    assert commits.committed(spark, path) == []
+
+
+def live(spark, rows, folder, number):
+    """One delivery; ids, times and skills."""
+    kind = "id string, collected_at string, skills array<string>"
+    spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(kind).parquet(f"{folder}/in")
+    keep_counts(stream, weekly_mentions, f"{folder}/store", f"{folder}/log{number}").awaitTermination()
+    return {(r.period, r.skill): r["count"] for r in latest_counts(spark, f"{folder}/store", ["period", "skill"]).collect()}
+
+
+def test_live_counts_are_exact(spark, tmp_path):
+    """Late rows, rows without id, an earlier sighting that comes last, and a new checkpoint."""
+    folder = str(tmp_path)
+    first = [("1", "2026-08-12T00:00:00Z", ["SQL"]), (None, "2026-08-12T00:00:00Z", ["SQL"]), (None, "2026-08-12T00:00:00Z", ["SQL"]), ("2", "no date", ["SQL"])]
+    assert live(spark, first, folder, 0) == {("2026-08-10", "SQL"): 3}
+    late = [("3", "2025-01-01T00:00:00Z", ["SQL", "AWS"]), ("1", "2026-08-05T00:00:00Z", ["SQL"])]
+    want = {("2026-08-10", "SQL"): 2, ("2026-08-03", "SQL"): 1, ("2024-12-30", "SQL"): 1, ("2024-12-30", "AWS"): 1}
+    assert live(spark, late, folder, 0) == want
+    assert live(spark, [("1", "2026-08-20T00:00:00Z", ["SQL"])], folder, 0) == want
+    # A lost checkpoint delivers all files again: known ids change nothing.
+    again = live(spark, [("4", "2026-08-20T00:00:00Z", ["AWS"])], folder, 1)
+    assert again[("2026-08-17", "AWS")] == 1 and again[("2026-08-03", "SQL")] == 1
 
 
 def test_stream_equals_batch(spark, raw, tmp_path):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,34 +12,38 @@ from vacanta.functions.values import timestamp_column
 RANK = "source_rank"
 
 
-def first_seen(df: DataFrame, rank: str | None = None) -> DataFrame:
+def first_seen(
+    df: DataFrame, rank: str | Sequence[str] | None = None, by_content: bool = True
+) -> DataFrame:
     """One row per id, the one collected earliest.
 
-    Ids compare as text. Equal times are decided by the column ``rank`` (lower wins:
+    Ids compare as text. Equal times are decided by the ``rank`` columns (lower wins:
     stored rows before new ones), then by content, so the choice does not depend on
-    how the rows are spread. Spark keeps only the best row per id and input partition
-    before it shuffles, so an id seen very often moves few rows.
+    how the rows are spread. ``by_content=False`` says that time and rank decide alone;
+    then no other column is read for the choice. Spark keeps only the best row per id and
+    input partition before it shuffles, so an id seen very often moves few rows.
 
-    Rows without an id are all kept: nothing tells whether they are the same advert.
-    A table without an id column is returned as it is.
+    Rows without an id are all kept: nothing tells whether they are the same advert. They
+    get a key of their own, so the table is scanned once. A table without an id column is
+    returned as it is.
     """
     if "id" not in df.columns:
         return df
+    ranks = [rank] if isinstance(rank, str) else list(rank or ())
     texted = df.withColumn("id", F.col("id").cast("string"))
     order = [timestamp_column(texted, "collected_at").asc_nulls_last()]
-    if rank:
-        order.append(F.col(rank).asc_nulls_last())
-    content = [name for name in texted.columns if name not in ("id", rank)]
-    if content:
+    order += [F.col(name).asc_nulls_last() for name in ranks]
+    content = [name for name in texted.columns if name not in ("id", *ranks)]
+    if content and by_content:
         order.append(F.xxhash64(*content))
-    one = Window.partitionBy("id").orderBy(*order)
-    known = (
-        texted.filter(F.col("id").isNotNull())
+    alone = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+    one = Window.partitionBy("id", "_alone").orderBy(*order)
+    return (
+        texted.withColumn("_alone", alone)
         .withColumn("_place", F.row_number().over(one))
         .filter(F.col("_place") == 1)
-        .drop("_place")
+        .drop("_place", "_alone")
     )
-    return known.unionByName(texted.filter(F.col("id").isNull()))
 
 
 def merge_postings(existing: DataFrame, new: DataFrame) -> DataFrame:

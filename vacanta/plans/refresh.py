@@ -1,71 +1,72 @@
 """Stored postings: batches of sightings are appended, the first sighting counts.
 
-A store is a Parquet folder partitioned by ``batch``. A refresh processes and writes
-only its own rows; which sighting of an id counts is decided when the store is read
-(:func:`current`). Writing a batch again replaces that batch, so a repeated delivery
-changes nothing, and no stored file is ever rewritten in place.
+A store holds committed batches (:mod:`vacanta.sources.commits`). A refresh processes
+and writes only its own rows, under a name of its own; which sighting of an id counts is
+decided when the store is read (:func:`current`), on the id, the time and the batch
+alone, so a report reads only the columns it needs, in one scan. No stored file is ever
+rewritten; :func:`compact` writes the current rows as one batch that replaces the others.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacanta.operators.dedupe import first_seen, merge_counts
 from vacanta.operators.processing import process_postings
+from vacanta.sources import commits
+from vacanta.sources.commits import BATCH, ORDER
 from vacanta.sources.schema import RAW
 
-BATCH = "batch"
-
 
 def processed_schema(spark: SparkSession) -> T.StructType:
     """Schema of :func:`process_postings` over raw rows; nothing is executed."""
     return process_postings(spark.createDataFrame([], RAW)).schema
 
 
-def sightings(spark: SparkSession, store: str, schema: T.StructType | None = None) -> DataFrame:
-    """All stored rows with their batch; empty if nothing was stored yet."""
-    full = T.StructType([*(schema or processed_schema(spark)).fields, T.StructField(BATCH, T.LongType())])
-    try:
-        return spark.read.schema(full).parquet(store)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+def sightings(
+    spark: SparkSession,
+    store: str,
+    schema: T.StructType | None = None,
+    batches: list[commits.Batch] | None = None,
+) -> DataFrame:
+    """All stored rows with their batch and its order; empty if nothing was stored yet."""
+    return commits.read(spark, store, schema or processed_schema(spark), batches)
 
 
 def current(spark: SparkSession, store: str, schema: T.StructType | None = None) -> DataFrame:
-    """One row per id, first sighting; on equal times the earlier batch."""
-    return first_seen(sightings(spark, store, schema), BATCH).drop(BATCH)
-
+    """One row per id, first sighting; on equal times the earlier batch.
 
-def next_batch(spark: SparkSession, store: str, schema: T.StructType | None = None) -> int:
-    # Answered from folder names: the optimizer reads no file for it.
-    last = sightings(spark, store, schema).agg(F.max(BATCH)).first()[0]
-    return 0 if last is None else last + 1
+    A batch holds an id once, so time and batch order all sightings of an id.
+    """
+    rows = sightings(spark, store, schema)
+    return first_seen(rows, (ORDER, BATCH), by_content=False).drop(ORDER, BATCH)
 
 
-def write_batch(rows: DataFrame, store: str, batch: int) -> None:
-    """Store rows as batch number ``batch``, replacing an earlier try of it."""
-    first_seen(rows).write.mode("overwrite").parquet(f"{store}/{BATCH}={batch}")
+def write_batch(rows: DataFrame, store: str, name: str | None = None) -> str:
+    """Commit rows as one batch; returns its name. A committed name changes nothing."""
+    name = name or commits.new_name()
+    commits.commit(first_seen(rows), store, name)
+    return name
 
 
 def batch_counts(
-    spark: SparkSession, store: str, batch: int, schema: T.StructType | None = None
+    spark: SparkSession, store: str, name: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """One row ``(added, total)``: ids that ``batch`` brought, and ids up to it."""
-    rows = sightings(spark, store, schema)
-    return merge_counts(rows.filter(F.col(BATCH) < batch), rows.filter(F.col(BATCH) == batch))
+    """One row ``(added, total)``: ids that a batch brought, and ids up to it."""
+    batches = commits.committed(spark, store)
+    at = [b.name for b in batches].index(name)
+    return merge_counts(
+        sightings(spark, store, schema, batches[:at]),
+        sightings(spark, store, schema, batches[at : at + 1]),
+    )
 
 
 def save_new(rows: DataFrame, store: str) -> DataFrame:
-    """Append rows of any posting table as the next batch; returns ``(added, total)``."""
-    spark, schema = rows.sparkSession, rows.schema
-    batch = next_batch(spark, store, schema)
-    write_batch(rows, store, batch)
-    return batch_counts(spark, store, batch, schema)
+    """Append rows of any posting table as a batch; returns ``(added, total)``."""
+    name = write_batch(rows, store)
+    return batch_counts(rows.sparkSession, store, name, rows.schema)
 
 
 def refresh(new_raw: DataFrame, store: str) -> DataFrame:
@@ -73,6 +74,21 @@ def refresh(new_raw: DataFrame, store: str) -> DataFrame:
     return save_new(process_postings(new_raw), store)
 
 
-def compact(spark: SparkSession, store: str, target: str, schema: T.StructType | None = None) -> None:
-    """Write the current rows as the only batch of a new store ``target``."""
-    current(spark, store, schema).write.mode("errorifexists").parquet(f"{target}/{BATCH}=0")
+def compact(spark: SparkSession, store: str, schema: T.StructType | None = None) -> None:
+    """Replace the batches by one batch of the current rows.
+
+    It takes the order of the first batch it replaces, so ties with later batches are
+    decided as before. Batches committed meanwhile stay. Readers see the old batches or
+    the new one, never both; files of replaced batches may be deleted once no reader
+    that listed them is left.
+    """
+    batches = commits.committed(spark, store)
+    if len(batches) > 1:
+        rows = first_seen(sightings(spark, store, schema, batches), (ORDER, BATCH), by_content=False)
+        commits.commit(
+            rows.drop(ORDER, BATCH),
+            store,
+            commits.new_name(),
+            order=batches[0].order,
+            replaces=tuple(b.name for b in batches),
+        )

@@ -7,19 +7,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vacanta.operators.processing import process_postings
 from vacanta.plans.refresh import write_batch
+from vacanta.sources.commits import writer_id
 
 
 def ingest(raw_stream: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
     """Start a query that stores what is available and then ends.
 
-    Each micro-batch becomes one batch of the store under the micro-batch number, so
-    a batch that is run again after a failure replaces itself. Work per micro-batch
+    Each micro-batch becomes one batch of the store, named after the checkpoint's writer
+    id and the micro-batch number: one that runs again after a failure finds its own
+    commit, and no other writer or checkpoint can have the name. Work per micro-batch
     depends on its own rows only; read the result with
     :func:`vacanta.plans.refresh.current`.
     """
+    writer = writer_id(raw_stream.sparkSession, checkpoint)
 
     def store_batch(rows: DataFrame, number: int) -> None:
-        write_batch(rows, store, number)
+        write_batch(rows, store, f"{writer}-{number:012d}")
 
     return (
         process_postings(raw_stream)

@@ -1,71 +1,96 @@
-"""Weekly skill mentions and postings, kept up to date while postings arrive."""
+"""Weekly skill mentions and postings, kept up to date while postings arrive.
+
+Counts are of first sightings, as in the batch trend, however late a row comes: each
+micro-batch stores its sightings and the differences they make to the counts. A posting
+whose earlier sighting arrives afterwards takes its mentions out of one week and into
+another. Nothing is dropped for being late, and rows without an id count one by one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vacanta.functions.values import iso_date, timestamp_column
-
-# The epoch was a Thursday: windows shifted by four days start on Mondays.
-_WEEK = ("7 days", "7 days", "4 days")
+from vacanta.functions.values import bucket_start, iso_date, timestamp_column
+from vacanta.operators.dedupe import first_seen
+from vacanta.sources import commits
+from vacanta.sources.commits import BATCH, ORDER
 
-
-def first_sightings(postings: DataFrame, delay: str, date: str = "collected_at") -> DataFrame:
-    """Repeat sightings dropped while within ``delay`` of the newest posting."""
-    timed = postings.withColumn(date, timestamp_column(postings, date))
-    return (
-        timed.filter(F.col(date).isNotNull())
-        .withWatermark(date, delay)
-        .dropDuplicatesWithinWatermark(["id"])
-    )
+Counting = Callable[[DataFrame], DataFrame]
 
 
-def _week(date: str) -> Column:
-    return F.window(date, *_WEEK)
+def _week(df: DataFrame, date: str) -> Column:
+    return iso_date(bucket_start(timestamp_column(df, date), "W"))
 
 
 def weekly_mentions(postings: DataFrame, date: str = "collected_at") -> DataFrame:
-    """Mentions per week and skill of a watermarked stream (or of a plain table)."""
+    """``(period, skill, count)``; unreadable dates and empty lists give no rows."""
     return (
-        postings.select(date, F.explode("skills").alias("skill"))
-        .groupBy(_week(date).alias("_week"), "skill")
-        .agg(F.count(F.lit(1)).alias("mentions"))
-        .select(iso_date(F.col("_week.start")).alias("period"), "skill", "mentions")
+        postings.select(_week(postings, date).alias("period"), F.explode("skills").alias("skill"))
+        .filter(F.col("period").isNotNull() & F.col("skill").isNotNull())
+        .groupBy("period", "skill")
+        .agg(F.count(F.lit(1)).alias("count"))
     )
 
 
 def weekly_postings(postings: DataFrame, date: str = "created") -> DataFrame:
-    """Postings per week of a watermarked stream (or of a plain table)."""
+    """``(period, count)``; unreadable dates give no rows."""
     return (
-        postings.groupBy(_week(date).alias("_week"))
+        postings.select(_week(postings, date).alias("period"))
+        .filter(F.col("period").isNotNull())
+        .groupBy("period")
         .agg(F.count(F.lit(1)).alias("count"))
-        .select(iso_date(F.col("_week.start")).alias("period"), "count")
     )
 
 
-def keep_counts(counts: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed counts of each micro-batch below ``store``.
+def _change(before: DataFrame, after: DataFrame, counting: Counting) -> DataFrame:
+    """What the counts change by, zero changes left out."""
+    new, old = counting(after), counting(before).withColumn("count", -F.col("count"))
+    keys = [c for c in new.columns if c != "count"]
+    return new.unionByName(old).groupBy(*keys).agg(F.sum("count").alias("count")).filter("count <> 0")
 
-    Update mode, because append mode would hold back the newest week. A micro-batch
-    that runs again replaces its own folder. Rows later than the watermark are not
-    counted; the batch trend over the store stays the full answer.
-    """
 
-    def store_batch(rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{store}/batch={number}")
+def keep_counts(
+    postings: DataFrame, counting: Counting, store: str, checkpoint: str
+) -> StreamingQuery:
+    """Start a query that counts what is available and then ends.
+
+    ``postings`` is a stream with ``id`` and ``collected_at`` beside what ``counting``
+    needs. ``store`` holds the sightings and, below ``counts``, the changes; one query at
+    a time writes it. A micro-batch reads of the stored sightings only the rows of its
+    own ids. Run again, it finds its commits and changes nothing.
+    """
+    spark = postings.sparkSession
+    writer = commits.writer_id(spark, checkpoint)
+
+    def count_batch(rows: DataFrame, number: int) -> None:
+        name = f"{writer}-{number:012d}"
+        earlier = [b for b in commits.committed(spark, store) if b.name != name]
+        commits.commit(first_seen(rows), store, name)
+        fresh = commits.read(spark, store, rows.schema, [b for b in commits.committed(spark, store) if b.name == name])
+        known = commits.read(spark, store, rows.schema, earlier).join(
+            fresh.select("id").distinct(), "id", "left_semi"
+        )
+        before = first_seen(known, (ORDER, BATCH), by_content=False)
+        after = first_seen(known.unionByName(fresh), (ORDER, BATCH), by_content=False)
+        commits.commit(_change(before, after, counting), f"{store}/counts", name)
 
     return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(store_batch)
+        postings.writeStream.foreachBatch(count_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_counts(spark: SparkSession, store: str, keys: list[str], count: str) -> DataFrame:
-    """The newest value of each count."""
-    rows = spark.read.parquet(store)
-    return rows.groupBy(*keys).agg(F.max_by(count, "batch").alias(count))
+def latest_counts(spark: SparkSession, store: str, keys: list[str]) -> DataFrame:
+    """The counts as of the last micro-batch: ``keys`` and ``count``."""
+    schema = T.StructType(
+        [*(T.StructField(k, T.StringType()) for k in keys), T.StructField("count", T.LongType())]
+    )
+    changes = commits.read(spark, f"{store}/counts", schema)
+    return changes.groupBy(*keys).agg(F.sum("count").alias("count")).filter("count <> 0")
