@@ -143,19 +143,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a table comes in fewer splits than there are cores.
-
-    The supplied tables are single small files and the work per row is heavy here.
-    Tables with as many splits as cores are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def raw_postings(spark: SparkSession, folder: str) -> DataFrame:
     tables = {name: table(spark, folder, name) for name in _NAMES}
-    tables["orders"] = spread(tables["orders"])
     return spark.sql(RAW_SQL, **tables)
 
 

@@ -13,7 +13,6 @@ from checks.postings import (
     quoted,
     raw_postings,
     seen_again,
-    spread,
     table,
 )
 from vacanta.fixed_values import (
@@ -177,17 +176,17 @@ def _(spark, folder):
 
 @query("strip_html_pages", f"SELECT page_id, {S.strip_html('html')} AS text FROM pages")
 def _(spark, folder):
-    return spread(table(spark, folder, "pages")).select("page_id", strip_html(F.col("html")).alias("text"))
+    return table(spark, folder, "pages").select("page_id", strip_html(F.col("html")).alias("text"))
 
 
 @query("clean_pages", f"SELECT page_id, {S.clean_description('html')} AS text FROM pages")
 def _(spark, folder):
-    return spread(table(spark, folder, "pages")).select("page_id", clean_description(F.col("html")).alias("text"))
+    return table(spark, folder, "pages").select("page_id", clean_description(F.col("html")).alias("text"))
 
 
 @query("clean_documents", f"SELECT doc_id, {S.clean_description('text')} AS text FROM documents")
 def _(spark, folder):
-    return spread(table(spark, folder, "documents")).select(
+    return table(spark, folder, "documents").select(
         "doc_id", clean_description(F.col("text")).alias("text")
     )
 
@@ -247,22 +246,22 @@ def _(spark, folder):
     FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id GROUP BY 1""",
 )
 def _(spark, folder):
-    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return documents.select("doc_id", skills_in(F.col("text")).alias("skills")).select("doc_id", joined())
 
 
 def phrase_dictionary(spark, folder):
-    """A dictionary that grows with the data: benchmark items' first three words."""
+    """A dictionary that grows with the data: whole benchmark items as spellings."""
     return table(spark, folder, "benchmark").select(
         F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("skill"),
-        F.regexp_extract("text", r"^(\S+ \S+ \S+)", 1).alias("alias"),
+        F.col("text").alias("alias"),
     )
 
 
 @query(
     "skills_ngram_join",
     f"""WITH spelled AS (SELECT DISTINCT concat('item ', CAST(item_id AS VARCHAR)) AS skill,
-        {S.form("regexp_extract(text, '^([^ ]+ [^ ]+ [^ ]+)', 1)")} AS phrase FROM benchmark),
+        {S.form("text")} AS phrase FROM benchmark),
     formed AS (SELECT doc_id, {S.form('text')} AS f FROM documents),
     hits AS (SELECT DISTINCT doc_id, skill FROM formed JOIN spelled ON contains(f, phrase)
              WHERE trim(phrase) <> '')
@@ -270,7 +269,7 @@ def phrase_dictionary(spark, folder):
     FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id GROUP BY 1""",
 )
 def _(spark, folder):
-    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return match_dictionary(documents, phrase_dictionary(spark, folder), "doc_id").select("doc_id", joined())
 
 

@@ -15,7 +15,7 @@ from vacanta.functions.values import (
     text_column,
     timestamp_column,
 )
-from vacanta.operators.filters import plausible_salary
+from vacanta.operators.filters import SALARY_BOUNDS, plausible_salary
 from vacanta.operators.quantiles import medians
 
 
@@ -26,7 +26,7 @@ def overview_totals(df: DataFrame, salary: str = "salary_midpoint") -> DataFrame
         text_column(df, "location").alias("location"),
         plausible_salary(df, salary).alias("_salary"),
     )
-    middle = medians(base, [], "_salary").select("median").scalar()
+    middle = medians(base, [], "_salary", SALARY_BOUNDS).select("median").scalar()
     totals = base.agg(
         F.count(F.lit(1)).alias("postings"),
         F.count_distinct("company").alias("companies"),

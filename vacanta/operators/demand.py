@@ -13,7 +13,6 @@ from vacanta.fixed_values import (
     SKILL_LIMIT_DEFAULT,
     SKILL_LIMIT_MAX,
     TREND_SKILLS_DEFAULT,
-    TREND_SKILLS_MAX,
 )
 from vacanta.functions.skills import Dictionary, category_of
 from vacanta.functions.values import bucket_start, iso_date, timestamp_column
@@ -66,9 +65,12 @@ def in_category(demand: DataFrame, category: str | None) -> DataFrame:
     return demand if category in (None, "", "All") else demand.filter(F.col("category") == category)
 
 
-def most_mentioned(demand: DataFrame, limit: int = SKILL_LIMIT_DEFAULT) -> DataFrame:
-    if not 1 <= limit <= SKILL_LIMIT_MAX:
-        raise ValueError(f"limit must be within 1..{SKILL_LIMIT_MAX}: {limit}")
+def most_mentioned(
+    demand: DataFrame, limit: int = SKILL_LIMIT_DEFAULT, most: int | None = SKILL_LIMIT_MAX
+) -> DataFrame:
+    """The ``limit`` most mentioned skills; a report's ``limit`` above ``most`` is refused."""
+    if limit < 1 or (most is not None and limit > most):
+        raise ValueError(f"limit must be within 1..{most}: {limit}")
     return demand.orderBy(F.desc("postings_mentioning"), "skill").limit(limit)
 
 
@@ -104,9 +106,9 @@ def skill_trend(
 
 
 def trend_choice(df: DataFrame, requested: Sequence[str] = ()) -> Column | list[str]:
-    """The skills to plot: the first eight requested, else the four most mentioned."""
+    """The skills to plot: all that are requested, else the four most mentioned."""
     if requested:
-        return list(requested)[:TREND_SKILLS_MAX]
+        return list(dict.fromkeys(requested))
     top = most_mentioned(skill_demand(df), TREND_SKILLS_DEFAULT)
     return top.agg(F.collect_list("skill")).scalar()
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacanta.fixed_values import SKILL_DICTIONARY
 from vacanta.functions.skills import Dictionary, tokens
-from vacanta.functions.text import bind, is_blank
+from vacanta.functions.text import is_blank
 
 
 def dictionary_table(spark, dictionary: Dictionary = SKILL_DICTIONARY) -> DataFrame:
@@ -23,22 +23,7 @@ def dictionary_table(spark, dictionary: Dictionary = SKILL_DICTIONARY) -> DataFr
     )
 
 
-def _phrases(words: Column, lengths: Column) -> Column:
-    """Distinct runs of consecutive words, for each wanted number of words."""
-
-    def runs(w: Column) -> Column:
-        return F.transform(
-            lengths,
-            lambda n: F.when(
-                F.size(w) >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.size(w) - n + 1),
-                    lambda i: F.array_join(F.slice(w, i, n), " "),
-                ),
-            ).otherwise(F.array().cast("array<string>")),
-        )
-
-    return F.array_distinct(F.flatten(bind(words, runs)))
+LEAD_WORDS = 2
 
 
 def match_dictionary(
@@ -46,26 +31,41 @@ def match_dictionary(
 ) -> DataFrame:
     """``(key, skills)`` for texts against a dictionary table ``(skill, alias)`` of any size.
 
-    Every run of words as long as some spelling is looked up by an equi-join, so the
-    cost does not grow with the number of spellings. No side is hinted: Spark
-    broadcasts the dictionary when it measures it as small, and otherwise shuffles by
-    phrase, where a frequent phrase is split by the adaptive skew handling. Runs are
-    distinct per text before the join. ``key`` must be unique.
+    Every word, and every word with its neighbour, is looked up by an equi-join among the
+    spellings' first two words, so the cost grows neither with the number of spellings nor
+    with their lengths. Spellings of more than two words are then compared in full, at the
+    places found. No side is hinted: Spark broadcasts what it measures as small, and
+    otherwise shuffles by words, where a frequent one is split by the adaptive skew
+    handling. ``key`` must be unique.
     """
-    spelled = dictionary.select("skill", tokens(F.col("alias")).alias("_words"))
-    spelled = spelled.filter(F.size("_words") > 0)
-    # At most a handful of distinct lengths: one small array.
-    lengths = spelled.agg(F.sort_array(F.collect_set(F.size("_words")))).scalar()
-    wanted = spelled.select("skill", F.array_join("_words", " ").alias("_phrase")).distinct()
-    tokenised = texts.select(
-        key, F.coalesce(tokens(F.col(text)), F.array()).alias("_words"), lengths.alias("_lengths")
+    spelled = (
+        dictionary.select("skill", tokens(F.col("alias")).alias("_spelling"))
+        .filter(F.size("_spelling") > 0)
+        .distinct()
+        .withColumn("_lead", F.array_join(F.slice("_spelling", 1, LEAD_WORDS), " "))
+    )
+    tokenised = texts.select(key, F.coalesce(tokens(F.col(text)), F.array()).alias("_words"))
+    pairs = F.arrays_zip(
+        F.col("_words").alias("one"),
+        F.slice("_words", F.lit(2), F.size("_words")).alias("next"),
     )
-    runs = tokenised.select(
-        key, F.explode_outer(_phrases(F.col("_words"), F.col("_lengths"))).alias("_phrase")
+    places = tokenised.select(key, F.posexplode(pairs).alias("_at", "_pair")).select(
+        key, "_at", F.explode(F.array("_pair.one", F.concat("_pair.one", F.lit(" "), "_pair.next"))).alias("_lead")
+    )
+    found = places.join(spelled, "_lead")
+    length = F.size("_spelling")
+    short = found.filter(length <= LEAD_WORDS).select(key, "skill")
+    long = (
+        found.filter(length > LEAD_WORDS)
+        .select(key, "_at", "skill", "_spelling")
+        .join(tokenised, key)
+        .filter(F.slice("_words", F.col("_at") + 1, length) == F.col("_spelling"))
+        .select(key, "skill")
     )
-    hits = runs.join(wanted, "_phrase").select(key, "skill")
     # One marker row per text keeps those without a hit, without joining texts again.
-    marked = hits.unionByName(texts.select(key, F.lit(None).cast("string").alias("skill")))
+    marked = short.unionByName(long).unionByName(
+        texts.select(key, F.lit(None).cast("string").alias("skill"))
+    )
     return marked.groupBy(key).agg(F.sort_array(F.collect_set("skill")).alias("skills"))
 
 

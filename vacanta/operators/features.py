@@ -14,7 +14,7 @@ from vacanta.fixed_values import (
 )
 from vacanta.functions.skills import count_columns
 from vacanta.functions.values import numeric_column, text_column
-from vacanta.operators.filters import plausible_salary
+from vacanta.operators.filters import plausible_salary, with_plausible_salary
 
 TARGET = "salary_midpoint"
 LABEL = "log_salary"
@@ -37,7 +37,7 @@ def model_rows(df: DataFrame) -> DataFrame:
     """Rows with a plausible salary, features filled. Other rows are dropped."""
     if TARGET not in df.columns:
         raise KeyError(f"column {TARGET!r} is missing: process the raw postings first")
-    paid = df.withColumn(TARGET, plausible_salary(df, TARGET)).filter(F.col(TARGET).isNotNull())
+    paid = with_plausible_salary(df, TARGET).withColumn(TARGET, plausible_salary(df, TARGET))
     return fill_features(paid)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacanta.fixed_values import FILTER_COLUMNS, SALARY_CEILING, SALARY_FLOOR
 from vacanta.functions.text import bind, is_blank
@@ -76,3 +77,16 @@ def plausible(salary: Column) -> Column:
 def plausible_salary(df: DataFrame, name: str = "salary_midpoint") -> Column:
     """The salary all salary reports are about. The row stays, only the value goes."""
     return plausible(numeric_column(df, name))
+
+
+SALARY_BOUNDS = (float(SALARY_FLOOR), float(SALARY_CEILING))
+
+
+def with_plausible_salary(df: DataFrame, name: str = "salary_midpoint") -> DataFrame:
+    """Only the rows with a plausible salary.
+
+    On a stored number this is a plain comparison of the column, which reaches the scan.
+    """
+    if name in df.columns and isinstance(df.schema[name].dataType, T.DoubleType):
+        return df.filter(F.col(name).between(*SALARY_BOUNDS))
+    return df.filter(plausible_salary(df, name).isNotNull())

@@ -2,14 +2,16 @@
 
 The built-in exact percentile keeps every distinct value of a group in the memory of
 one task. Here a value falls into one of a fixed number of equal-width slots between
-known bounds, so
+known bounds, and into one of as many equal-width parts of its slot, so
 
-* rows shrink to ``(group, slot, value, n)`` counts before any shuffle,
-* a group's running total is taken over its slots (at most ``SLOTS`` of them), and
-* only the slots that hold a wanted rank are looked into, spread by (group, slot).
+* rows shrink to ``(group, slot, part, value, n)`` counts before any shuffle,
+* a group's running total is taken over its slots (at most ``SLOTS`` of them),
+* only the slots that hold a wanted rank are looked into, by a running total over their
+  parts, and only the parts that hold one by a running total over values.
 
-No step orders or holds all values of a group, however large the group is. The
-results are the same numbers the built-in percentile gives.
+No step orders or holds all values of a group or of a slot. Values within a part are
+closer than the bounds' distance divided by ``SLOTS`` squared. The results are the same
+numbers the built-in percentile gives.
 """
 
 from __future__ import annotations
@@ -21,28 +23,32 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacanta.fixed_values import SALARY_CEILING, SALARY_FLOOR
-
 SLOTS = 2048
+Bounds = tuple[float, float]
 
 
-def value_counts(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    bounds: tuple[float, float] = (SALARY_FLOOR, SALARY_CEILING),
-) -> DataFrame:
-    """Counts per (keys, slot, value) of the values within ``bounds``."""
+def _slot_and_part(v: Column, bounds: Bounds) -> tuple[Column, Column]:
     low, high = bounds
-    v = F.col(value)
-    slot = F.floor((v - F.lit(float(low))) / F.lit((high - low) / SLOTS)).cast("int")
+    place = (v - F.lit(float(low))) / F.lit((high - low) / SLOTS)
+    slot = F.floor(place)
+    part = F.floor((place - slot) * SLOTS)
     # Never null for a value within the bounds. Saying so keeps the optimizer from
     # adding null checks in one branch only, which would split the shared shuffle.
-    slot = F.coalesce(slot, F.lit(0))
+    return F.coalesce(slot.cast("int"), F.lit(0)), F.coalesce(part.cast("int"), F.lit(0))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds) -> DataFrame:
+    """Counts per (keys, slot, part, value) of the values within ``bounds``, ends included.
+
+    Values outside are not counted: choose bounds that the values cannot leave, or that
+    say which values are meant.
+    """
+    v = F.col(value)
+    slot, part = _slot_and_part(v, bounds)
     return (
-        df.filter(v.between(low, high))
-        .select(*keys, slot.alias("_slot"), v.alias("_value"))
-        .groupBy(*keys, "_slot", "_value")
+        df.filter(v.between(*bounds))
+        .select(*keys, slot.alias("_slot"), part.alias("_part"), v.alias("_value"))
+        .groupBy(*keys, "_slot", "_part", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
 
@@ -82,18 +88,25 @@ def quantiles(
     ranks = {
         name: (F.floor(_rank(q)), F.ceil(_rank(q)), _rank(q)) for name, q in wanted.items()
     }
-    touched = profile.filter(
-        reduce(
-            or_,
-            [
-                _holds(edge, F.col("_before"), F.col("_rows"))
-                for low, high, _ in ranks.values()
-                for edge in (low, high)
-            ],
-        )
-    ).select(*keys, "_slot", "_before", "_total")
-    inside = counts.join(touched, [*keys, "_slot"])
-    upto = F.sum("_n").over(Window.partitionBy(*keys, "_slot").orderBy("_value"))
+    wanted_here = reduce(
+        or_,
+        [
+            _holds(edge, F.col("_before"), F.col("_rows"))
+            for low, high, _ in ranks.values()
+            for edge in (low, high)
+        ],
+    )
+    slot, part = [*keys, "_slot"], [*keys, "_slot", "_part"]
+    touched = profile.filter(wanted_here).select(*slot, "_before", "_total")
+    parts = (
+        counts.groupBy(*part)
+        .agg(F.sum("_n").alias("_rows"))
+        .join(touched, slot)
+        .withColumn("_upto", F.sum("_rows").over(Window.partitionBy(*slot).orderBy("_part")))
+        .withColumn("_before", F.col("_before") + F.col("_upto") - F.col("_rows"))
+    )
+    inside = counts.join(parts.filter(wanted_here).select(*part, "_before", "_total"), part)
+    upto = F.sum("_n").over(Window.partitionBy(*part).orderBy("_value"))
     placed = inside.withColumn("_first", F.col("_before") + upto - F.col("_n"))
 
     def at(rank: Column) -> Column:
@@ -117,33 +130,47 @@ def quantiles(
     )
 
 
-def medians(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``(keys, median, count)`` over the values within the salary bounds."""
-    counts = value_counts(df, keys, value)
+def medians(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds) -> DataFrame:
+    """``(keys, median, count)`` over the values within ``bounds``."""
+    counts = value_counts(df, keys, value, bounds)
     return quantiles(counts, slot_profile(counts, keys), keys, {"median": 0.5})
 
 
-def box_plots(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Quartiles, whiskers and count per group with at least one value.
+def box_plots(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds) -> DataFrame:
+    """Quartiles, whiskers and count per group with at least one value within ``bounds``.
 
-    A whisker is the most extreme value within 1.5 interquartile ranges of the box.
-    The fences go back to the value counts, one row per group, and the extremes are
-    reduced before the last shuffle. ``keys`` must name at least one column without
-    nulls. Every branch uses the same columns of the counts, so that their shuffle is
-    made once and reused.
+    A whisker is the most extreme value within 1.5 interquartile ranges of the box. The
+    extremes of a group's slots tell it, but for the slots a fence runs through; only
+    those are looked into. ``keys`` must name at least one column without nulls.
     """
-    counts = value_counts(df, keys, value)
+    counts = value_counts(df, keys, value, bounds)
     profile = slot_profile(counts, keys)
     boxes = quantiles(counts, profile, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    within = F.col("_value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        counts.join(boxes.drop("count"), list(keys))
-        .groupBy(*keys, "q1", "median", "q3")
-        .agg(
-            F.min(F.when(within, F.col("_value"))).alias("min"),
-            F.max(F.when(within, F.col("_value"))).alias("max"),
-            F.sum("_n").alias("count"),
-        )
-        .select(*keys, "min", "q1", "median", "q3", "max", "count")
+    fenced = profile.join(
+        boxes.select("*", (F.col("q1") - reach).alias("_floor"), (F.col("q3") + reach).alias("_top")),
+        list(keys),
+    )
+    cut = (F.col("_low") < F.col("_floor")) | (F.col("_high") > F.col("_top"))
+    edge = fenced.filter(
+        cut & (F.col("_high") >= F.col("_floor")) & (F.col("_low") <= F.col("_top"))
+    ).select(*keys, "_slot", "_floor", "_top")
+    within_edge = (
+        counts.join(edge, [*keys, "_slot"])
+        .filter(F.col("_value").between(F.col("_floor"), F.col("_top")))
+        .groupBy(*keys)
+        .agg(F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+    )
+    whole = fenced.groupBy(*keys, "q1", "median", "q3", "count").agg(
+        F.min(F.when(~cut, F.col("_low"))).alias("_low"),
+        F.max(F.when(~cut, F.col("_high"))).alias("_high"),
+    )
+    return whole.join(within_edge, list(keys), "left").select(
+        *keys,
+        F.least("_low", "_least").alias("min"),
+        "q1",
+        "median",
+        "q3",
+        F.greatest("_high", "_most").alias("max"),
+        "count",
     )

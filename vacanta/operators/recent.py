@@ -11,10 +11,15 @@ from vacanta.functions.values import iso_date, rounded_pounds, text_column, time
 from vacanta.operators.filters import plausible_salary
 
 
-def newest(df: DataFrame, limit: int = POSTINGS_LIMIT_DEFAULT) -> DataFrame:
-    """The ``limit`` rows created last; ties by id. Rows without a date are left out."""
-    if not 1 <= limit <= POSTINGS_LIMIT_MAX:
-        raise ValueError(f"limit must be within 1..{POSTINGS_LIMIT_MAX}: {limit}")
+def newest(
+    df: DataFrame, limit: int = POSTINGS_LIMIT_DEFAULT, most: int | None = POSTINGS_LIMIT_MAX
+) -> DataFrame:
+    """The ``limit`` rows created last; ties by id. Rows without a date are left out.
+
+    A ``limit`` above ``most`` is refused; None takes any.
+    """
+    if limit < 1 or (most is not None and limit > most):
+        raise ValueError(f"limit must be within 1..{most}: {limit}")
     dated = df.withColumn("_created", timestamp_column(df, "created"))
     return (
         dated.filter(F.col("_created").isNotNull())
@@ -24,8 +29,8 @@ def newest(df: DataFrame, limit: int = POSTINGS_LIMIT_DEFAULT) -> DataFrame:
     )
 
 
-def posting_cards(df: DataFrame) -> DataFrame:
-    """Display form of postings; missing text is ''."""
+def posting_cards(df: DataFrame, n_skills: int = CARD_SKILLS) -> DataFrame:
+    """Display form of postings, with their first ``n_skills`` skills; missing text is ''."""
 
     def text(name: str) -> Column:
         return F.coalesce(text_column(df, name), F.lit(""))
@@ -38,7 +43,7 @@ def posting_cards(df: DataFrame) -> DataFrame:
         text("role_category").alias("role_category"),
         text("seniority").alias("seniority"),
         rounded_pounds(plausible_salary(df)).alias("salary"),
-        F.slice(skill_list(skills), 1, CARD_SKILLS).alias("skills"),
+        F.slice(skill_list(skills), 1, n_skills).alias("skills"),
         iso_date(timestamp_column(df, "created")).alias("created"),
         text("redirect_url").alias("url"),
     )

@@ -12,7 +12,7 @@ from vacanta.fixed_values import (
 )
 from vacanta.functions.values import rounded_pounds, text_column
 from vacanta.operators.demand import exploded
-from vacanta.operators.filters import plausible_salary
+from vacanta.operators.filters import SALARY_BOUNDS, plausible_salary, with_plausible_salary
 from vacanta.operators.quantiles import box_plots, medians
 
 NULL_LABEL = "nan"
@@ -21,12 +21,18 @@ NULL_LABEL = "nan"
 def salary_distribution(
     df: DataFrame, group: str, salary: str = "salary_midpoint", null_label: str = NULL_LABEL
 ) -> DataFrame:
-    """Box plot of plausible salaries per label of ``group``; salary-less labels drop out."""
-    labelled = df.select(
+    """Box plot of plausible salaries per label of ``group``; salary-less labels drop out.
+
+    A table without the column ``group`` has no labels and gives no rows.
+    """
+    rows = with_plausible_salary(df, salary)
+    if group not in df.columns:
+        rows = rows.filter(F.lit(False))
+    labelled = rows.select(
         F.coalesce(text_column(df, group), F.lit(null_label)).alias("label"),
         plausible_salary(df, salary).alias("_salary"),
     )
-    return box_plots(labelled, ["label"], "_salary")
+    return box_plots(labelled, ["label"], "_salary", SALARY_BOUNDS)
 
 
 def richest_first(distribution: DataFrame) -> DataFrame:
@@ -36,8 +42,8 @@ def richest_first(distribution: DataFrame) -> DataFrame:
 
 def salary_box(df: DataFrame, salary: str = "salary_midpoint") -> DataFrame:
     """Box plot of all plausible salaries as one row; no row when there are none."""
-    everything = df.select(F.lit("all").alias("_all"), plausible_salary(df, salary).alias("_salary"))
-    return box_plots(everything, ["_all"], "_salary").drop("_all")
+    everything = with_plausible_salary(df, salary).select(F.lit("all").alias("_all"), plausible_salary(df, salary).alias("_salary"))
+    return box_plots(everything, ["_all"], "_salary", SALARY_BOUNDS).drop("_all")
 
 
 def salary_histogram(
@@ -50,7 +56,7 @@ def salary_histogram(
     both ends move out by a thousandth of the value instead. Edges come from a one-row
     scalar subquery and the counts from one aggregate row, so nothing is joined.
     """
-    salaries = df.select(plausible_salary(df, salary).alias("_v")).filter("_v IS NOT NULL")
+    salaries = with_plausible_salary(df, salary).select(plausible_salary(df, salary).alias("_v"))
     low, high = F.min("_v"), F.max("_v")
     same = low == high
     start = F.when(same, low - F.abs(low) * 0.001).otherwise(low)
@@ -87,14 +93,15 @@ def pay_by_skill(
     """Median salary of the ``limit`` skills with most salaried postings.
 
     The counts per skill and value serve both the sizes and the medians, so the lists
-    are read and exploded once.
+    are read and exploded once. A table without skills gives no rows.
     """
-    paid = df.select(
-        F.col("skills"), plausible_salary(df, salary).alias("_salary")
-    ).filter(F.col("_salary").isNotNull())
+    listed = F.col("skills") if "skills" in df.columns else F.array().cast("array<string>")
+    paid = with_plausible_salary(df, salary).select(
+        listed.alias("skills"), plausible_salary(df, salary).alias("_salary")
+    )
     pairs = paid.select(exploded("skills"), "_salary").filter(F.col("skill").isNotNull())
     largest = (
-        medians(pairs, ["skill"], "_salary")
+        medians(pairs, ["skill"], "_salary", SALARY_BOUNDS)
         .filter(F.col("count") >= least)
         .orderBy(F.desc("count"), "skill")
         .limit(limit)
