@@ -34,7 +34,7 @@ from vacanta.functions.values import timestamp_column
 from vacanta.operators.counts import value_counts
 from vacanta.operators.features import fill_features
 from vacanta.operators.processing import process_postings
-from vacanta.plans import refresh, reports, scoring, training
+from vacanta.plans import refresh, scoring, training
 from vacanta.session import scratch_path, use_utc
 from vacanta.sources.readers import (
     read_processed_csv,
@@ -269,29 +269,6 @@ def _(spark, folder):
     return latest_counts(spark, store, ["period"])
 
 
-# --- reports -----------------------------------------------------------------------------
-
-
-@query(
-    "report_salary_sections",
-    f"""{S.WITH_SKILLS}, chosen AS (SELECT * FROM posts WHERE contract_type = 'contract')
-    SELECT 'by_role' AS section, count(DISTINCT role_category) AS rows FROM chosen WHERE pay IS NOT NULL
-    UNION ALL SELECT 'by_seniority', count(DISTINCT seniority) FROM chosen WHERE pay IS NOT NULL
-    UNION ALL SELECT 'histogram', 24
-    UNION ALL SELECT 'by_skill', least(12, count(*)) FROM (SELECT skill FROM (
-        SELECT unnest(skills) AS skill FROM chosen WHERE pay IS NOT NULL) GROUP BY 1 HAVING count(*) >= 5)""",
-)
-def _(spark, folder):
-    store = scratch_path(spark, "processed")
-    processed(spark, folder).write.parquet(store)
-    report = reports.salary(spark.read.parquet(store), {"contract_type": ["contract"]})
-    sizes = [
-        rows.agg(F.lit(name).alias("section"), F.count(F.lit(1)).alias("rows"))
-        for name, rows in report.items()
-    ]
-    return sizes[0].union(sizes[1]).union(sizes[2]).union(sizes[3])
-
-
 # --- model ---------------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacanta.operators.counts import overview_totals, period_counts, top_locations, value_counts, value_counts_of
-from vacanta.operators.filters import plausible_salary
+from vacanta.operators.filters import SALARY_BOUNDS, plausible_salary
 from vacanta.operators.processing import add_salary_midpoint
 from vacanta.operators.quantiles import box_plots, medians
 from vacanta.operators.salary import (
@@ -63,12 +63,12 @@ def test_many_groups_one_of_them_hot(spark):
 
 def test_box_plots_without_broadcast_and_other_partitions(spark):
     df = frame(spark, make("cents"), [f"g{i % 3}" for i in range(997)]).withColumn("v", F.col("salary_midpoint"))
-    plain = sorted(box_plots(df, ["role"], "v").collect())
+    plain = sorted(box_plots(df, ["role"], "v", SALARY_BOUNDS).collect())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     try:
-        assert sorted(box_plots(df.repartition(5), ["role"], "v").collect()) == plain
+        assert sorted(box_plots(df.repartition(5), ["role"], "v", SALARY_BOUNDS).collect()) == plain
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -81,7 +81,7 @@ def test_labels_and_order(spark):
     assert [r.label for r in rows] == ["a", "nan", "b"]
     assert salary_box(df).first()["median"] == 30000
     assert salary_box(df.filter("false")).count() == 0
-    assert medians(df.filter("false"), ["role"], "salary_midpoint").count() == 0
+    assert medians(df.filter("false"), ["role"], "salary_midpoint", SALARY_BOUNDS).count() == 0
 
 
 @pytest.mark.parametrize(
@@ -153,3 +153,15 @@ def test_period_counts(spark):
     df = spark.createDataFrame([(d,) for d in dates], "created string")
     got = {r.period: r["count"] for r in period_counts(df).collect()}
     assert got == {"2026-08-03": 3, "2026-08-10": 1}
+
+
+def test_other_bounds(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (20_000.0,)], "v double")
+    row = medians(df, [], "v", (0.0, 30_000.0)).first()
+    assert (row["median"], row["count"]) == (2.0, 3)
+
+
+def test_absent_columns_give_empty_reports(spark):
+    df = spark.createDataFrame([(20_000.0,)], "salary_midpoint double")
+    assert salary_distribution(df, "region").count() == 0
+    assert pay_by_skill(df).count() == 0

@@ -176,4 +176,4 @@ def test_trend_of_chosen_skills(lists):
     assert dense[("2026-08-10", "Python")] == 0 and len(dense) == 4
     series = {r.skill: r.points for r in trend_series(chosen).collect()}
     assert [(p.period, p.value) for p in series["SQL"]] == [("2026-08-03", 1), ("2026-08-10", 1)]
-    assert len(trend_choice(lists, [str(i) for i in range(20)])) == 8
+    assert len(trend_choice(lists, [str(i) for i in range(20)])) == 20

@@ -35,7 +35,13 @@ from vacanta.operators.demand import (
     trend_series,
 )
 from vacanta.operators.dictionary import dictionary_table
-from vacanta.operators.filters import Selections, apply_filters, filter_options, search
+from vacanta.operators.filters import (
+    Selections,
+    active_selections,
+    apply_filters,
+    filter_options,
+    search,
+)
 from vacanta.operators.recent import recent_postings
 from vacanta.operators.salary import (
     pay_by_skill,
@@ -73,6 +79,7 @@ def skills(
     return {
         "total_distinct_skills": demand.agg(F.count("skill").alias("total_distinct_skills")),
         "skills": most_mentioned(demand, limit),
+        "categories": categories(postings.sparkSession, dictionary),
     }
 
 
@@ -84,7 +91,17 @@ def trend(
 ) -> Report:
     rows = apply_filters(postings, selections)
     points = skill_trend(rows, freq, trend_choice(rows, requested))
-    return {"series": trend_series(points).orderBy("skill"), "dense": dense_trend(points)}
+    # The chosen skills are echoed, also those without a point.
+    chosen = trend_choice(rows, requested)
+    if isinstance(chosen, list):
+        echoed = postings.sparkSession.createDataFrame(list(enumerate(chosen)), "place int, skill string")
+    else:
+        echoed = postings.sparkSession.range(1).select(F.posexplode(chosen).alias("place", "skill"))
+    return {
+        "skills": echoed.orderBy("place").select("skill"),
+        "series": trend_series(points).orderBy("skill"),
+        "dense": dense_trend(points),
+    }
 
 
 def salary(postings: DataFrame, selections: Selections = NO_SELECTION) -> Report:
@@ -107,15 +124,27 @@ def newest_postings(
     return {"postings": recent_postings(rows, limit)}
 
 
+def categories(spark, dictionary: Dictionary = SKILL_DICTIONARY) -> DataFrame:
+    """The dictionary's categories in their order."""
+    rows = dictionary_table(spark, dictionary).select("category_order", "category").distinct()
+    return rows.orderBy("category_order").select("category")
+
+
 def meta(
     postings: DataFrame,
     model: SalaryModel | None = None,
     dictionary: Dictionary = SKILL_DICTIONARY,
+    selections: Selections = NO_SELECTION,
 ) -> Report:
-    """Facts about the whole table; selections do not apply."""
+    """Facts about the whole table; selections are echoed but do not apply."""
     spark = postings.sparkSession
+    active = [(n, v) for n, values in active_selections(selections).items() for v in values]
     return {
         "filters": filter_options(postings).orderBy("column_name", "value"),
+        "active_filters": spark.createDataFrame(active, "column_name string, value string"),
+        "total_skills": dictionary_table(spark, dictionary).agg(
+            F.count_distinct("skill").alias("total_skills")
+        ),
         "dictionary": dictionary_table(spark, dictionary)
         .select("category_order", "category", "skill")
         .distinct(),
