@@ -212,7 +212,8 @@ def near_duplicates(
         .agg(F.first("bands").alias("bands")),
     )
     placed = signed.select("key", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    # Written before the join, so that a bucket of very many texts can be split there.
+    shared = kept("shared", placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     places = kept("places", placed.join(shared, "bucket"))
 
     # Hubs of large buckets, and all pairs of small ones.

@@ -157,8 +157,9 @@ def _refined(blocks: DataFrame, size: int, kept) -> tuple[DataFrame, DataFrame]:
         .select("text_id", "at", "low", "high", "near", F.lit(size).alias("size"))
     )
     # A core with one union has nothing left to compare.
+    cores = kept(cores.filter("n_unions > 1 and n_alone > 0").select("core"))
     rest = (
-        unions.join(cores.filter("n_unions > 1 and n_alone > 0").select("core"), "core", "left_semi")
+        unions.join(cores, "core", "left_semi")
         .select("one.*", F.when(is_open, 0).otherwise(1).cast("tinyint").alias("witness"))
     )
     return found, rest
@@ -218,7 +219,8 @@ def repeated_spans(
     texts = documents.select(F.unhex(F.md5(content)).alias("text_id"), content.alias("text"))
     long_texts = texts.filter(F.octet_length("text") >= LENGTH)
     every = kept(long_texts.mapInArrow(_first_blocks, _HASHED))
-    shared = every.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    # Written before the join, so that a core with very many blocks can be split there.
+    shared = kept(every.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"))
     blocks = kept(every.join(shared, "core", "left_semi"))
 
     needed = blocks.select("text_id").distinct()
