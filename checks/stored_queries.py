@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,8 @@ from checks.queries import (
 from vacanta.functions.skills import count_columns
 from vacanta.functions.values import timestamp_column
 from vacanta.operators.counts import value_counts
-from vacanta.operators.features import fill_features
+from vacanta.operators.features import feature_table, fill_features, fold_of, is_holdout
+from vacanta.operators.metrics import regression_metrics
 from vacanta.operators.processing import process_postings
 from vacanta.plans import refresh, scoring, training
 from vacanta.session import scratch_path, use_utc
@@ -282,6 +284,82 @@ def _stored(spark: SparkSession, folder: str) -> DataFrame:
 _LINEAR = {name: training.CANDIDATES[name] for name in ("linear_regression", "ridge")}
 
 
+def _bucket(seed: int, parts: int) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', id, '', '{seed}')), 1, 8))::BIGINT % {parts}"
+
+
+@query(
+    "fold_sizes",
+    f"""{S.WITH_PAY} SELECT {_bucket(42, 100)} < 20 AS holdout, {_bucket(43, 5)} AS fold, count(*) AS rows
+    FROM paid WHERE pay IS NOT NULL GROUP BY 1, 2""",
+)
+def _(spark, folder):
+    rows = feature_table(priced(spark, folder), ("id",))
+    holdout, fold = is_holdout(["id"], spare=training.SPARE), fold_of(["id"], 5, spare=training.SPARE)
+    return rows.groupBy(holdout.alias("holdout"), fold.alias("fold")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _one_feature(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows with the description's length as the only feature."""
+    rows = feature_table(_stored(spark, folder), ("id",)).withColumn(
+        "features", array_to_vector(F.array(F.col("description_length") / 100))
+    )
+    path = scratch_path(spark, "one-feature")
+    rows.withColumn("holdout", is_holdout(["id"], spare=training.SPARE)).write.parquet(path)
+    back = spark.read.parquet(path)
+    return back.filter("NOT holdout"), back.filter("holdout")
+
+
+_FIT = f"""{S.WITH_SKILLS}, rows AS (SELECT id, len(description_clean) / 100 AS x, ln(pay) AS y, {_bucket(42, 100)} < 20 AS holdout
+      FROM posts WHERE pay IS NOT NULL),
+  fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM rows WHERE NOT holdout)"""
+_RIDGE = f"""{_FIT}, sums AS (SELECT regr_sxy(y, x) / (regr_sxx(y, x) + 1) AS slope, avg(x) AS mx, avg(y) AS my FROM rows WHERE NOT holdout)"""
+
+
+@query(
+    "linear_fit",
+    f"""{_RIDGE} SELECT 'linear_regression' AS model, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM fit
+    UNION ALL SELECT 'ridge', round(slope, 6), round(my - slope * mx, 6) FROM sums""",
+)
+def _(spark, folder):
+    """Coefficients of both linear candidates on one feature."""
+    known, _ = _one_feature(spark, folder)
+    fits = [(name, _LINEAR[name](known).fit(known)) for name in _LINEAR]
+    rows = [(name, float(f.coefficients[0]), float(f.intercept)) for name, f in fits]
+    made = spark.createDataFrame(rows, "model string, slope double, intercept double")
+    return made.select("model", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query(
+    "linear_scores",
+    f"""{_FIT} SELECT id, round(y, 6) AS actual, round(intercept + slope * x, 6) AS predicted FROM rows, fit WHERE holdout""",
+)
+def _(spark, folder):
+    """Held-out rows scored by the fitted line."""
+    known, held = _one_feature(spark, folder)
+    model = training.linear_regression(known).fit(known)
+    scored = model.transform(held)
+    return scored.select("id", F.round("log_salary", 6).alias("actual"), F.round("prediction", 6).alias("predicted"))
+
+
+@query(
+    "linear_metrics",
+    f"""{_FIT}, scored AS (SELECT y, intercept + slope * x AS p FROM rows, fit WHERE holdout)
+    SELECT {S.half_even('avg(abs(exp(y) - exp(p)))', 2)} AS mae_gbp, {S.half_even('sqrt(avg((exp(y) - exp(p)) ^ 2))', 2)} AS rmse_gbp,
+      {S.half_even('1 - sum((y - p) ^ 2) / sum((y - m) ^ 2)', 6)} AS r2, {S.half_even('avg(abs(y - p))', 6)} AS mae_log
+    FROM scored, (SELECT avg(y) AS m FROM rows WHERE holdout)""",
+)
+def _(spark, folder):
+    known, held = _one_feature(spark, folder)
+    found = regression_metrics(training.linear_regression(known).fit(known).transform(held))
+    return found.select(
+        F.bround("mae_gbp", 2).alias("mae_gbp"),
+        F.bround("rmse_gbp", 2).alias("rmse_gbp"),
+        F.bround("r2", 6).alias("r2"),
+        F.bround("mae_log", 6).alias("mae_log"),
+    )
+
+
 @query("salary_model_comparison")
 def _(spark, folder):
     """Cross-validated comparison of the linear candidates over all salaried rows."""

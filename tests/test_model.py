@@ -53,6 +53,12 @@ def test_model_rows(spark):
         model_rows(df.drop("salary_midpoint"))
 
 
+def test_rows_without_key_are_split_by_content(rows):
+    none = rows.withColumn("id", F.lit(None).cast("string"))
+    folds = none.groupBy(fold_of(["id"], 5, spare=["salary_midpoint"])).count().collect()
+    assert len(folds) == 5 and max(r["count"] for r in folds) < 150
+
+
 def test_split_depends_on_the_key_alone(rows):
     part = rows.select("id", is_holdout(["id"]).alias("h"), fold_of(["id"], 5).alias("f"))
     a = {r.id: (r.h, r.f) for r in part.collect()}

@@ -46,22 +46,39 @@ def feature_table(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return model_rows(df).select(*keep, *FEATURES, F.ln(TARGET).alias(LABEL))
 
 
-def _hashed(keys: list[str], seed: int, parts: int) -> Column:
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(parts))
-
-
-def is_holdout(keys: list[str], seed: int = SPLIT_SEED, percent: int = HOLDOUT_PERCENT) -> Column:
+def _hashed(keys: list[str], seed: int, parts: int, spare: list[str]) -> Column:
+    """A number below ``parts`` from a row's key, or from ``spare`` where it has no key."""
+    texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    missing = F.lit(True)
+    for key in keys:
+        missing = missing & F.col(key).isNull()
+    content = F.when(missing, F.xxhash64(*spare).cast("string")) if spare else F.lit("")
+    texts.append(F.coalesce(content, F.lit("")))
+    digest = F.md5(F.concat_ws("|", *texts, F.lit(str(seed))))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(parts))
+
+
+def is_holdout(
+    keys: list[str],
+    seed: int = SPLIT_SEED,
+    percent: int = HOLDOUT_PERCENT,
+    spare: list[str] | None = None,
+) -> Column:
     """Whether a row is in the test part: decided by its own key alone.
 
     The answer does not depend on partitioning or on other rows, which a random split
-    cannot promise. The parts are near, not exactly at, the given percentage.
+    cannot promise. The parts are near, not exactly at, the given percentage. Rows
+    without a key are told apart by the ``spare`` columns, so they do not all fall into
+    one part.
     """
-    return _hashed(keys, seed, 100) < percent
+    return _hashed(keys, seed, 100, spare or []) < percent
 
 
-def fold_of(keys: list[str], folds: int, seed: int = SPLIT_SEED) -> Column:
+def fold_of(
+    keys: list[str], folds: int, seed: int = SPLIT_SEED, spare: list[str] | None = None
+) -> Column:
     """Fold number of a row, independent of :func:`is_holdout`."""
-    return _hashed(keys, seed + 1, folds)
+    return _hashed(keys, seed + 1, folds, spare or [])
 
 
 def fold_count(training_rows: int, wanted: int = CV_FOLDS) -> int:

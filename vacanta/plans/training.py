@@ -21,6 +21,7 @@ from vacanta.fixed_values import (
     SPLIT_SEED,
 )
 from vacanta.operators.features import (
+    FEATURES,
     LABEL,
     NUMERIC_FEATURES,
     feature_table,
@@ -31,6 +32,8 @@ from vacanta.operators.features import (
 from vacanta.operators.metrics import fold_scores, regression_metrics
 from vacanta.session import shared_folder
 
+# What tells rows without a key apart when they are split.
+SPARE = [*FEATURES, LABEL]
 _COMMON = {"featuresCol": "features", "labelCol": LABEL}
 
 
@@ -152,7 +155,9 @@ def train(
     if spark.sparkContext.getCheckpointDir() is None:
         # Boosting cuts its lineage here every few rounds.
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    split = feature_table(processed, keys).withColumn("_holdout", is_holdout(list(keys)))
+    split = feature_table(processed, keys).withColumn(
+        "_holdout", is_holdout(list(keys), spare=SPARE)
+    )
     table = split.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_train, n_all = table.agg(F.count_if(~F.col("_holdout")), F.count(F.lit(1))).first()
@@ -165,7 +170,7 @@ def train(
         parts = fold_count(n_train, folds) if folds else 0
         training = table.filter(~F.col("_holdout"))
         holdout = table.filter("_holdout")
-        folded = training.withColumn("_fold", fold_of(list(keys), max(parts, 1)))
+        folded = training.withColumn("_fold", fold_of(list(keys), max(parts, 1), spare=SPARE))
         scores, results, fitted = [], [], {}
         for name, candidate in candidates.items():
             for k in range(parts):
