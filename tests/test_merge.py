@@ -33,11 +33,11 @@ from vacanta.streaming.live_counts import keep_counts, latest_counts, weekly_men
 
 def test_earliest_sighting_wins(spark):
     df = spark.createDataFrame(
-        [("a", "2026-08-05T00:00:00Z"), ("a", "2026-08-01T00:00:00Z"), ("a", None), ("b", "bad")],
+        [("a", "2025-02-11T18:00:00Z"), ("a", "2025-02-10T21:30:00Z"), ("a", None), ("b", "bad")],
         "id string, collected_at string",
     )
     assert sorted((r.id, r.collected_at) for r in first_seen(df).collect()) == [
-        ("a", "2026-08-01T00:00:00Z"), ("b", "bad"),
+        ("a", "2025-02-10T21:30:00Z"), ("b", "bad"),
     ]
 
 
@@ -49,10 +49,10 @@ def test_offsets_compare_as_times(spark):
 
 
 def test_number_and_text_ids_are_the_same(spark):
-    old = spark.createDataFrame([(4802504178, "2026-08-01T13:00:00Z")], "id bigint, collected_at string")
-    new = spark.createDataFrame([("4802504178", "2026-08-01T17:00:00Z")], "id string, collected_at string")
+    old = spark.createDataFrame([(7310000042, "2025-06-09T05:00:00Z")], "id bigint, collected_at string")
+    new = spark.createDataFrame([("7310000042", "2025-06-09T11:00:00Z")], "id string, collected_at string")
     old = old.withColumn("id", F.col("id").cast("string"))
-    assert merge_postings(old, new).collect()[0].collected_at == "2026-08-01T13:00:00Z"
+    assert merge_postings(old, new).collect()[0].collected_at == "2025-06-09T05:00:00Z"
     assert tuple(merge_counts(old, new).first()) == (0, 1)
     assert first_seen(spark.createDataFrame([(1,), (1,)], "id bigint")).count() == 1
 
@@ -86,28 +86,28 @@ def test_hot_id_moves_one_row_per_partition(spark):
 @pytest.fixture()
 def store(spark, raw):
     path = scratch_path(spark, "test-store")
-    first = store_jobs.refresh(raw(raw_row("existing-1")), path)
+    first = store_jobs.refresh(raw(raw_row("kept")), path)
     assert tuple(first.first()) == (1, 1)
     return path
 
 
 def test_refresh(spark, raw, store):
-    assert tuple(store_jobs.refresh(raw(raw_row("new-1")), store).first()) == (1, 2)
-    again = raw_row("existing-1", collected_at="2026-09-09T10:00:00Z")
+    assert tuple(store_jobs.refresh(raw(raw_row("added")), store).first()) == (1, 2)
+    again = raw_row("kept", collected_at="2025-11-20T12:00:00Z")
     assert tuple(store_jobs.refresh(raw(again), store).first()) == (0, 2)
     assert tuple(store_jobs.refresh(raw(), store).first()) == (0, 2)
     rows = {r.id: r for r in store_jobs.current(spark, store).collect()}
-    assert rows["existing-1"].collected_at.startswith("2026-08-01")
-    new = rows["new-1"]
-    assert (new.role_category, new.salary_midpoint, new.skills) == ("Data Engineer", 65000, ["AWS", "Python", "SQL"])
+    assert rows["kept"].collected_at.startswith("2025-03-05")
+    new = rows["added"]
+    assert (new.role_category, new.salary_midpoint, new.skills) == ("BI Developer / Analyst", 45000, ["Kafka", "Snowflake", "Tableau"])
     store_jobs.compact(spark, store)
     assert len(commits.committed(spark, store)) == 1
     assert {r.id: r for r in store_jobs.current(spark, store).collect()} == rows
-    assert tuple(store_jobs.refresh(raw(raw_row("new-2")), store).first()) == (1, 3)
+    assert tuple(store_jobs.refresh(raw(raw_row("later")), store).first()) == (1, 3)
 
 
 def test_an_earlier_sighting_replaces_a_later_one(spark, raw, store):
-    early = raw_row("existing-1", collected_at="2026-07-01T10:00:00Z", company="First")
+    early = raw_row("kept", collected_at="2025-01-07T10:00:00Z", company="First")
     assert tuple(store_jobs.refresh(raw(early), store).first()) == (0, 1)
     assert store_jobs.current(spark, store).first().company == "First"
 
@@ -125,7 +125,7 @@ def test_a_dead_try_is_not_read_and_is_replaced(spark, raw, store):
     rows.write.parquet(f"{store}/rows/w-1")  # no commit followed
     assert store_jobs.current(spark, store).count() == 1
     store_jobs.write_batch(process_postings(raw(raw_row("y"))), store, "w-1")
-    assert {r.id for r in store_jobs.current(spark, store).collect()} == {"existing-1", "y"}
+    assert {r.id for r in store_jobs.current(spark, store).collect()} == {"kept", "y"}
 
 
 def test_writers_do_not_overwrite_each_other(spark, raw, store):
@@ -141,7 +141,7 @@ def test_batch_committed_during_a_compaction_stays(spark, raw, store):
     store_jobs.refresh(raw(raw_row("b")), store)
     old = store_jobs.sightings(spark, store, batches=listed).drop(commits.ORDER, commits.BATCH)
     commits.commit(old, store, "c", order=listed[0].order, replaces=tuple(b.name for b in listed))
-    assert {r.id for r in store_jobs.current(spark, store).collect()} == {"existing-1", "a", "b"}
+    assert {r.id for r in store_jobs.current(spark, store).collect()} == {"kept", "a", "b"}
 
 
 def test_report_over_the_store_reads_few_columns_once(spark, raw, store):
@@ -243,9 +243,9 @@ def test_required_columns(spark):
 
 
 def test_timestamps_and_summaries(spark, raw):
-    df = with_timestamps(raw(raw_row("1", created="2026-08-02"), raw_row("2", created="nope", salary_min=None, salary_max=None)))
+    df = with_timestamps(raw(raw_row("1", created="2025-03-02"), raw_row("2", created="nope", salary_min=None, salary_max=None)))
     assert [r.created is None for r in df.orderBy("id").collect()] == [False, True]
-    assert tuple(dataset_summary(df).first()) == (2, "2026-08-01", "2026-08-01")
+    assert tuple(dataset_summary(df).first()) == (2, "2025-03-05", "2025-03-05")
     assert tuple(processing_summary(process_postings(df)).first()) == (2, 1, 0.5)
     assert health(df).first().status == "ok" and health(df).first().null_share_created == 0.5
     assert health(None, spark=spark).first().status == "degraded"

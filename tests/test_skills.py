@@ -25,10 +25,10 @@ from vacanta.operators.demand import (
 from vacanta.operators.dictionary import dictionary_problems, dictionary_table, match_dictionary
 
 TEXTS = {
-    "we need someone strong in python, sql and power bi with aws experience": ["AWS", "Power BI", "Python", "SQL"],
+    "our stack: azure; tableau, kafka and a little scala": ["Azure", "Kafka", "Scala", "Tableau"],
     "": [],
-    "python python python sql sql": ["Python", "SQL"],
-    "javascript only": ["JavaScript"],
+    "docker, docker - git git git": ["Docker", "Git"],
+    "javascript but no other": ["JavaScript"],
     "Microsoft SQL Server": ["SQL", "SQL Server"],
     "looker studio": ["Google Data Studio", "Looker"],
     "T-SQL": ["SQL"],

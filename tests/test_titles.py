@@ -4,16 +4,16 @@ from vacanta.functions.titles import label_by_rules, role_category, seniority
 from vacanta.operators.processing import add_titles
 
 CASES = [
-    ("Senior Data Analyst", "Data Analyst", "Senior"),
-    ("Analytics Engineer", "Analytics Engineer", "Mid-level"),
-    ("Lead Machine Learning Engineer", "Machine Learning Engineer", "Lead / Principal"),
-    ("Warehouse Operative", "Other", "Mid-level"),
+    ("Data Analyst, Senior Grade", "Data Analyst", "Senior"),
+    ("Analytics Engineer II", "Analytics Engineer", "Mid-level"),
+    ("Principal Machine Learning Engineer", "Machine Learning Engineer", "Lead / Principal"),
+    ("Tram Driver", "Other", "Mid-level"),
     (None, "Other", "Unspecified"),
     ("", "Other", "Unspecified"),
     ("  ", "Other", "Unspecified"),
-    ("Head of Data", "Data Manager / Lead", "Head / Director"),
-    ("Junior Data Analyst", "Data Analyst", "Junior / Entry-level"),
-    ("Data Analyst - Graduate Scheme", "Data Analyst", "Junior / Entry-level"),
+    ("Head of Data (Interim)", "Data Manager / Lead", "Head / Director"),
+    ("Junior Night-Shift Data Analyst", "Data Analyst", "Junior / Entry-level"),
+    ("Graduate Data Analyst 2025", "Data Analyst", "Junior / Entry-level"),
     ("Product Analyst", "Data Analyst", "Mid-level"),
     ("Product Analysts", "Product Analyst", "Mid-level"),
     ("Data Engineering Manager", "Data Engineer", "Mid-level"),

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vacanta"):
+def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vacanta", memory: str = "8g"):
     """A single-machine session for tests and benchmarks."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -16,7 +16,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vac
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
