@@ -13,11 +13,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, suffix_dedup, toxicity
+from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, sql, suffix_dedup, toxicity
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op2_histogram_sort": sql.OP2,
+    "op4_dart_minhash": sql.OP4,
+    "op7_prefix_filtered_join": sql.OP7,
+    "op8_blob_ledger": sql.OP8,
+}
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
