@@ -79,6 +79,7 @@ def test_odd_rows(build, workers, odd):
 
 def test_large_vocabulary_needs_no_literals(build, workers, monkeypatch):
     monkeypatch.setattr(decontamination, "LITERAL_WORDS", 3)
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
     check(build, workers, [(1, prose(50, 60)), (2, prose(51, 60))], [(1, prose(50, 30))])
 
 

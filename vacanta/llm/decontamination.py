@@ -13,8 +13,8 @@ marked words as long as the shortest window cannot contain any. Only documents w
 a run are exploded into words. Rarity is counted over all documents that have a run.
 
 Work per document is bounded by its own length times the windows that share a prefix
-word. No side is hinted for broadcast; results meet on the number of the row, which no
-two rows share, so repeated documents do not gather in one task.
+word. Prefixes are broadcast if they are few. Results meet on the number of the row, which
+no two rows share, so repeated documents do not gather in one task.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A vocabulary of more words is not put into the plan; then every document is exploded.
 LITERAL_WORDS = 50_000
+# So many windows (about 200 bytes each) may be broadcast to the words of the documents; more
+# meet them by a shuffle, where adaptive execution splits a frequent word.
+BROADCAST_WINDOWS = 200_000
 
 
 def words_of(text: Column) -> Column:
@@ -118,6 +121,12 @@ def contaminated(
         .select("item", "length", "window_words", "rarest.word", "rarest.offset")
     )
 
+    path = scratch_path(spark, "prefixes")
+    prefix.write.parquet(path)
+    prefix = spark.read.parquet(path)
+    if prefix.count() <= BROADCAST_WINDOWS:
+        prefix = F.broadcast(prefix)
+
     # Candidates by prefix word, bounded by position and length, then verified.
     places = runs.select("row", F.posexplode("words").alias("at", "word"))
     candidates = (
