@@ -235,6 +235,20 @@ def test_csv_round_trip(spark, raw, tmp_path):
     assert sorted(map(str, again.collect())) == sorted(map(str, done.collect()))
 
 
+def test_large_csv_files_are_split_without_line_breaks(spark, raw, tmp_path):
+    rows = raw(*[raw_row(str(i), description="plain, \"quoted\" text " * 40) for i in range(200)])
+    write_csv(rows.coalesce(1), str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        whole = read_raw_csv(spark, str(tmp_path / "raw"))
+        split = read_raw_csv(spark, str(tmp_path / "raw"), line_breaks=False)
+        parts = F.count_distinct(F.spark_partition_id())
+        assert whole.agg(parts).first()[0] == 1 and split.agg(parts).first()[0] > 4
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_required_columns(spark):
     with pytest.raises(ValueError, match="description"):
         process_postings(spark.createDataFrame([("x",)], "title string"))

@@ -12,7 +12,7 @@ from vacanta.functions.values import numeric_column, timestamp_column
 from vacanta.sources.schema import ADVERT, RAW
 
 CORRUPT = "_corrupt"
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+_CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 def region_of(area: Column) -> Column:
@@ -90,8 +90,13 @@ def rejected_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW).options(**_CSV).csv(path)
+def read_raw_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    """Raw postings from CSV.
+
+    Values may hold line breaks, so a file is read by one task. Where the writer is known
+    to have none, ``line_breaks=False`` lets Spark split large files.
+    """
+    return spark.read.schema(RAW).options(**_CSV, multiLine=line_breaks).csv(path)
 
 
 def split_skills(c: Column) -> Column:
@@ -100,15 +105,20 @@ def split_skills(c: Column) -> Column:
     return F.filter(pieces, lambda piece: piece != "")
 
 
-def read_processed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Processed postings written by ``write_csv``; ``schema`` is theirs."""
+def read_processed_csv(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True
+) -> DataFrame:
+    """Processed postings written by ``write_csv``; ``schema`` is theirs.
+
+    ``line_breaks`` as in :func:`read_raw_csv`.
+    """
     as_text = T.StructType(
         [
             T.StructField(f.name, T.StringType()) if _reads_from_text(f) else f
             for f in schema
         ]
     )
-    df = spark.read.schema(as_text).options(**_CSV).csv(path)
+    df = spark.read.schema(as_text).options(**_CSV, multiLine=line_breaks).csv(path)
     restored = {
         f.name: timestamp_column(df, f.name)
         if isinstance(f.dataType, T.TimestampType)
