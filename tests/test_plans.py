@@ -86,6 +86,14 @@ def test_demand_reads_only_skills(stored):
     assert "ReadSchema: struct<skills:array<" in plan and "description" not in plan
 
 
+def test_demand_reads_the_table_once(stored):
+    df = skill_demand(stored)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    # Only scans that ran are followed by this operator; initial plans do not have it yet.
+    assert text.count("ColumnarToRow") == 1 and "ReusedExchange" in text
+
+
 @pytest.mark.parametrize("selections", [{}, {"role_category": ["Data Analyst"]}, {"role_category": ["No such role"]}])
 def test_reports(stored, selections):
     rows = apply_filters(stored, selections).count()

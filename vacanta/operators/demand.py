@@ -38,13 +38,18 @@ def skill_demand(
     dictionary constant, or by a left join if the dictionary is a table with
     ``skill`` and ``category``; unknown skills are in category 'Other'.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    mentions = (
-        df.select(exploded(skills))
-        .filter(F.col("skill").isNotNull())
+    # Every posting also counts under the null skill, so one pass gives the denominator.
+    named = F.filter(skills, lambda s: s.isNotNull())
+    listed = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(named, F.array()))
+    counted = (
+        df.select(F.explode_outer(listed).alias("skill"))
         .groupBy("skill")
-        .agg(F.count(F.lit(1)).alias("postings_mentioning"))
+        .agg(F.count(F.lit(1)).alias("postings_mentioning"), F.count("skill").alias("_named"))
     )
+    total = counted.agg(F.max(F.when(F.col("_named") == 0, F.col("postings_mentioning")))).scalar()
+    # Asked of the count, not of the key: a filter on the key would move below the
+    # aggregation of this branch alone, and the shuffle would be made twice.
+    mentions = counted.filter("_named > 0").drop("_named")
     if isinstance(dictionary, DataFrame):
         owners = dictionary.groupBy("skill").agg(F.min("category").alias("category"))
         owned = mentions.join(owners, "skill", "left")
