@@ -141,36 +141,40 @@ def box_plots(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds) ->
 
     A whisker is the most extreme value within 1.5 interquartile ranges of the box. The
     extremes of a group's slots tell it, but for the slots a fence runs through; only
-    those are looked into. ``keys`` must name at least one column without nulls.
+    those are looked into. ``keys`` must name at least one column without nulls. Every
+    branch uses the same columns of the counts, so that their shuffle is made once.
     """
     counts = value_counts(df, keys, value, bounds)
     profile = slot_profile(counts, keys)
     boxes = quantiles(counts, profile, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fenced = profile.join(
-        boxes.select("*", (F.col("q1") - reach).alias("_floor"), (F.col("q3") + reach).alias("_top")),
+        boxes.drop("count").select(
+            "*", (F.col("q1") - reach).alias("_floor"), (F.col("q3") + reach).alias("_top")
+        ),
         list(keys),
     )
     cut = (F.col("_low") < F.col("_floor")) | (F.col("_high") > F.col("_top"))
-    edge = fenced.filter(
+    edge = fenced.filter("_rows > 0").filter(
         cut & (F.col("_high") >= F.col("_floor")) & (F.col("_low") <= F.col("_top"))
     ).select(*keys, "_slot", "_floor", "_top")
     within_edge = (
         counts.join(edge, [*keys, "_slot"])
         .filter(F.col("_value").between(F.col("_floor"), F.col("_top")))
         .groupBy(*keys)
-        .agg(F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+        .agg(F.min("_value").alias("_least"), F.max("_value").alias("_most"), F.sum("_n").alias("_found"))
     )
-    whole = fenced.groupBy(*keys, "q1", "median", "q3", "count").agg(
+    whole = fenced.groupBy(*keys, "q1", "median", "q3").agg(
+        F.sum("_rows").alias("count"),
         F.min(F.when(~cut, F.col("_low"))).alias("_low"),
         F.max(F.when(~cut, F.col("_high"))).alias("_high"),
     )
     return whole.join(within_edge, list(keys), "left").select(
         *keys,
-        F.least("_low", "_least").alias("min"),
+        F.least("_low", F.when(F.col("_found") > 0, F.col("_least"))).alias("min"),
         "q1",
         "median",
         "q3",
-        F.greatest("_high", "_most").alias("max"),
+        F.greatest("_high", F.when(F.col("_found") > 0, F.col("_most"))).alias("max"),
         "count",
     )
