@@ -82,6 +82,65 @@ def test_large_group_of_noisy_copies(build):
     assert partition([rows[i].class_id for i, _ in pairs]) == partition(brute_classes(pairs))
 
 
+def brute_links(pairs):
+    """Links and classes by all pairs, counted on numbers of shingles."""
+    sets = []
+    for _, t in pairs:
+        words = t.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    links = [0] * len(pairs)
+    for i in range(len(pairs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                links[i] += 1
+                links[j] += 1
+    return links
+
+
+def similar_group(size, template=150, own=8):
+    """Texts that are all similar: a template and a few words of their own at its end."""
+    base = prose(11, template)
+    return [f"{base} " + " ".join(f"own{i}x{k}" for k in range(own)) for i in range(size)]
+
+
+def test_links_of_a_large_group(build, monkeypatch):
+    """Every text of a large similar group counts all others, over several blocks."""
+    monkeypatch.setattr(dart_minhash, "BLOCK_TEXTS", 40)
+    pairs = list(enumerate(similar_group(300)))
+    rows = {r.doc_id: r for r in dart_minhash.near_duplicates(build(pairs)).collect()}
+    assert {r.n_links for r in rows.values()} == {299}
+    assert {(r.class_id, r.class_size) for r in rows.values()} == {(0, 300)}
+
+
+def test_template_family_below_the_limit(build):
+    """Texts of one template share buckets but no link, except that each has one partner."""
+    rng = random.Random(6)
+    base = prose(12, 150).split()
+    pairs = []
+    for g in range(100):
+        tail = [f"own{g}x{k}" for k in range(50)]
+        pairs.append((2 * g, " ".join(base + tail)))
+        tail[rng.randrange(5, 45)] = "edit"
+        pairs.append((2 * g + 1, " ".join(base + tail)))
+    want = brute_links(pairs)
+    assert set(want) == {1}
+    rows = {r.doc_id: r for r in dart_minhash.near_duplicates(build(pairs)).collect()}
+    assert [rows[i].n_links for i, _ in pairs] == want
+    assert partition([rows[i].class_id for i, _ in pairs]) == partition(brute_classes(pairs))
+
+
+def test_overlaps_and_forest():
+    rng = np.random.RandomState(1)
+    sets = [np.unique(rng.randint(0, 30_000, n)) for n in (0, 5, 9_000, 20_000, 20_000)]
+    got = dart_minhash.overlaps(sets[:3], sets)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:3]]
+    linked = np.zeros((5, 5), dtype=bool)
+    for u, v in ((0, 1), (1, 2), (0, 2), (3, 4)):
+        linked[u, v] = linked[v, u] = True
+    assert len(dart_minhash.forest(linked)) == 3
+
+
 def test_weighted(build):
     line = "one two three four five six seven eight nine ten"
     pairs = [(1, "\n".join([line] * 20) + " alpha beta gamma delta epsilon zeta"), (2, "\n".join([line] * 20) + " other words end it here now")]

@@ -11,13 +11,13 @@ signature costs about k ln k hashes however many elements there are beyond that.
 
 Equal texts are one node. Bands of eight coordinates put texts into buckets: at a
 similarity of 0.8 a pair shares one of 40 buckets with probability 0.9994, at 0.85 with
-more than 0.99999. A bucket of up to ``WHOLE`` texts is compared completely. In a larger
-one every text is compared with two hubs: the text that shares most buckets with others,
-which in a group of noisy copies is the least noisy one, and one drawn by hash. Texts with
-a similarity of 0.8 share some ten buckets, each with its own hubs, and copies that lie
-closer to each other than to the group's hub meet in buckets the hub is not in. So pairs
-grow with the number of texts, not with the square of a group. Every link is checked
-exactly on the whole texts, and classes are the connected components.
+more than 0.99999. Every pair of a bucket is checked exactly on the whole texts, whatever
+the bucket's size. The pairs of a bucket of up to ``WHOLE`` texts are rows. A larger one is
+cut into blocks, and a task compares two blocks at a time by products of their shingle
+tables; it returns how many links each text has there and a forest of links that connects
+the same texts, not the links. A pair that shares several large buckets counts in the first
+of them, and not as a row. So the comparisons grow with the square of a bucket, but rows
+only with its texts times its blocks. Classes are the connected components.
 """
 
 from __future__ import annotations
@@ -37,7 +37,11 @@ from vacanta.session import scratch_path
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 8
+# Buckets of more texts are compared by blocks of about so many texts or shingles; the
+# results are the same.
 WHOLE = 8
+BLOCK_TEXTS, BLOCK_SHINGLES = 256, 4_000_000
+COLUMNS = 4096
 CACHED_WORDS = 500_000
 # So many text digests of 16 bytes may be broadcast.
 BROADCAST_TEXTS = 500_000
@@ -122,7 +126,7 @@ def _signatures(texts: DataFrame, weighted: bool, bands: int, rows: int) -> Data
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _WordHashes(), set()
         for batch in batches:
-            keys, found = [], []
+            keys, found, sizes = [], [], []
             for key, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if key in seen:  # copies in one task need one signature
                     continue
@@ -135,11 +139,13 @@ def _signatures(texts: DataFrame, weighted: bool, bands: int, rows: int) -> Data
                     signature = dart_signature(elements, weights, bands * rows)
                     keys.append(key)
                     found.append(band_hashes(signature, bands, rows).view(np.int64).tolist())
+                    sizes.append(int(counts.sum()) if weighted else len(elements))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["key", "bands"]
+                [pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+                names=["key", "bands", "size"],
             )
 
-    return texts.mapInArrow(sign, "key binary, bands array<long>")
+    return texts.mapInArrow(sign, "key binary, bands array<long>, size long")
 
 
 def _similar(pairs: DataFrame, weighted: bool, similarity: float) -> DataFrame:
@@ -171,6 +177,106 @@ def _similar(pairs: DataFrame, weighted: bool, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``a`` shares with each set of ``b``."""
+    shared = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    found = np.zeros((len(a), len(b)), dtype=np.int64)
+    if not len(shared):
+        return found
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        values = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+        of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        known = shared[at] == values
+        at, of = at[known], of[known]
+        order = np.argsort(at, kind="stable")
+        return at[order], of[order]
+
+    (at_a, of_a), (at_b, of_b) = placed(a), placed(b)
+    for low in range(0, len(shared), COLUMNS):
+        width = min(COLUMNS, len(shared) - low)
+        tables = []
+        for at, of, n in ((at_a, of_a, len(a)), (at_b, of_b, len(b))):
+            start, end = np.searchsorted(at, (low, low + width))
+            table = np.zeros((n, width), dtype=np.float32)
+            table[of[start:end], at[start:end] - low] = 1
+            tables.append(table)
+        found += np.rint(tables[0] @ tables[1].T).astype(np.int64)
+    return found
+
+
+def _unary(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A set that holds an element as often as it counts, each time as another one."""
+    nth = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix(np.repeat(elements, counts) + nth.astype(np.uint64) * _M)
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what the symmetric matrix connects, without a circle."""
+    left, found = np.ones(len(linked), dtype=bool), []
+    for start in range(len(linked)):
+        if left[start]:
+            left[start], stack = False, [start]
+            while stack:
+                u = stack.pop()
+                new = np.flatnonzero(linked[u] & left)
+                left[new] = False
+                found += [(u, int(v)) for v in new]
+                stack += new.tolist()
+    return found
+
+
+def _by_blocks(texts: DataFrame, weighted: bool, similarity: float) -> DataFrame:
+    """(a, b, n) of the texts (key, text, large): b null, n links of a; or a link of a forest.
+
+    ``large`` holds a text's large buckets and the number of blocks of each.
+    """
+
+    def compare(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_pylist()
+        bucket, i, j = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
+        own = np.asarray(group.column("own").to_pylist())
+        hashes = _WordHashes()
+        sets = []
+        for content in group.column("text"):
+            elements, counts = shingles(content.as_py(), hashes)
+            sets.append(_unary(elements, counts) if weighted else elements)
+        earlier = [np.array([b for b in x if b < bucket], dtype=np.int64) for x in group.column("buckets").to_pylist()]
+        x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        none = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
+        if not len(x) or not len(y):
+            return none
+        hit = overlaps([earlier[k] for k in x], [earlier[k] for k in y]) == 0
+        if i == j:
+            hit &= ~np.eye(len(x), dtype=bool)
+        x_left, y_left = hit.any(axis=1), hit.any(axis=0)
+        x, y, hit = x[x_left], y[y_left], hit[np.ix_(x_left, y_left)]
+        if not len(x):
+            return none
+        shared = overlaps([sets[k] for k in x], [sets[k] for k in y])
+        size = np.array([len(s) for s in sets])
+        total = size[x][:, None] + size[y][None, :] - shared
+        hit &= shared >= similarity * total
+        linked = np.zeros((len(keys), len(keys)), dtype=bool)
+        linked[np.ix_(x, y)] = hit
+        linked |= linked.T
+        degrees = linked.sum(axis=1)
+        rows = [(keys[k], None, int(degrees[k])) for k in np.flatnonzero(degrees)]
+        rows += [(*sorted((keys[u], keys[v])), None) for u, v in forest(linked)]
+        a, b, n = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "n": pa.array(n, pa.int64())})
+
+    own = F.pmod(F.xxhash64("key", "in.bucket"), "in.blocks")
+    return (
+        texts.select("key", "text", F.col("large.bucket").alias("buckets"), F.explode("large").alias("in"))
+        .select("key", "text", "buckets", "in.bucket", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("in.blocks") - 1)).alias("other"))
+        .select("key", "text", "buckets", "bucket", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .groupBy("bucket", "i", "j")
+        .applyInArrow(compare, "a binary, b binary, n long")
+    )
+
+
 def near_duplicates(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -209,33 +315,33 @@ def near_duplicates(
         "signatures",
         _signatures(keyed.select("key", "text"), weighted, bands, rows)
         .groupBy("key")
-        .agg(F.first("bands").alias("bands")),
+        .agg(F.first("bands").alias("bands"), F.first("size").alias("size")),
     )
-    placed = signed.select("key", F.explode("bands").alias("bucket"))
+    placed = signed.select("key", "size", F.explode("bands").alias("bucket"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("size") / BLOCK_SHINGLES)).alias("blocks")
     # Written before the join, so that a bucket of very many texts can be split there.
-    shared = kept("shared", placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
-    places = kept("places", placed.join(shared, "bucket"))
-
-    # Hubs of large buckets, and all pairs of small ones.
-    central = places.groupBy("key").agg(F.sum("n").alias("central"))
-    hubs = (
-        places.filter(F.col("n") > WHOLE)
-        .join(central, "key")
-        .groupBy("bucket")
-        .agg(
-            F.max(F.struct("central", "key")).alias("most"),
-            F.min(F.struct(F.xxhash64("bucket", "key").alias("drawn"), "key")).alias("drawn"),
-        )
-        .select("bucket", F.explode(F.array("most.key", "drawn.key")).alias("hub"))
+    shared = kept("shared", placed.groupBy("bucket").agg(F.count("*").alias("n"), blocks).filter("n > 1"))
+    places = kept("places", placed.select("key", "bucket").join(shared, "bucket"))
+
+    # All pairs of small buckets that share no large one, where they are compared by blocks.
+    large = kept(
+        "large",
+        places.filter(F.col("n") > WHOLE).groupBy("key").agg(F.collect_list(F.struct("bucket", "blocks")).alias("large")),
+    )
+    small = places.filter(F.col("n") <= WHOLE).join(
+        large.select("key", F.col("large.bucket").alias("others")), "key", "left"
     )
-    small = places.filter(F.col("n") <= WHOLE)
-    whole = small.select("bucket", F.col("key").alias("a")).join(
-        small.select("bucket", F.col("key").alias("b")), "bucket"
-    ).filter("a < b").select("a", "b")
-    stars = places.join(hubs, "bucket").filter("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
-    pairs = kept("pairs", stars.unionByName(whole).distinct())
-
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    apart = ~F.coalesce(F.arrays_overlap("others_a", "others_b"), F.lit(False))
+    whole = (
+        small.select("bucket", F.col("key").alias("a"), F.col("others").alias("others_a"))
+        .join(small.select("bucket", F.col("key").alias("b"), F.col("others").alias("others_b")), "bucket")
+        .filter("a < b")
+        .filter(apart)
+        .select("a", "b")
+    )
+    pairs = kept("pairs", whole.distinct())
+
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(large.select("key")).distinct()
     if needed.count() <= BROADCAST_TEXTS:  # else texts and keys meet by a shuffle
         needed = F.broadcast(needed)
     texts = (
@@ -249,14 +355,14 @@ def near_duplicates(
         pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     )
-    links = kept("links", _similar(compared, weighted, similarity).distinct())
-    classes = connected(links)
+    links = kept("links", _similar(compared, weighted, similarity))
+    by_blocks = kept("by-blocks", _by_blocks(texts.join(large, "key"), weighted, similarity))
+    classes = connected(links.unionByName(by_blocks.filter("b is not null").select("a", "b")))
     degree = (
-        links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x"))
-        .select("x.a", "x.b")
-        .distinct()
-        .groupBy(F.col("a").alias("node"))
-        .agg(F.count("*").alias("n_links"))
+        links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n"))
+        .unionByName(by_blocks.filter("b is null").select(F.col("a").alias("node"), "n"))
+        .groupBy("node")
+        .agg(F.sum("n").alias("n_links"))
     )
     counted = (
         members.groupBy("key")
