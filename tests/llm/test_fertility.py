@@ -78,3 +78,17 @@ def test_scripts():
     assert fertility.script_of("привет ok") == "Cyrillic"
     assert fertility.script_of("中文字 a") == "Han"
     assert fertility.script_of("1 2 3") is None
+
+
+def test_rich_texts_are_not_beyond_the_entropy_band(build):
+    """Thousands of distinct tokens, and few tokens that are all distinct."""
+    with open(BYTE_RANKS, "rb") as lines:
+        ranks = bpe.read_ranks(lines)
+    words = [t[1:].decode() for t in sorted(ranks, key=ranks.get) if re.fullmatch(rb" [a-z]{4,}", t)]
+    texts = [" ".join(words[:n]) for n in (*range(50, 90), 1025, 6000)]
+    assert len(words) >= 6000
+    rows = fertility.measured(build(list(enumerate(texts))), BYTE_RANKS, public_tokenizers.PATTERN, PIECE_MODEL)
+    found = rows.select("fertility", fertility.in_band(None).alias("kept")).collect()
+    for r, text in zip(found, texts, strict=True):
+        assert r.fertility.n_tokens == len(text.split())
+        assert 0.999 < r.fertility.entropy_share <= 1.0 and r.kept

@@ -5,8 +5,8 @@ it, the other one with byte fallback:
 
 * characters per token: low where the vocabulary does not know the words;
 * byte-fallback share: tokens that are single bytes because no piece fits;
-* token entropy of a text, divided by the largest entropy so many tokens can have. It is
-  low where few tokens make up the text, however long it is.
+* token entropy of a text, divided by the largest entropy so many tokens (1,024 at most)
+  can have, and at most 1. It is low where few tokens make up the text, however long it is.
 
 Each measure has a band per language, or per script where the language has no band. A
 text outside a band is rejected. Bands are wide: a text has to be far from prose to fall
@@ -218,7 +218,7 @@ def measures(texts: list[str | None], known: Vocabulary) -> list[tuple]:
                 chars / n,
                 chars / max(1.0, float(n_pieces[i])),
                 float(n_bytes[i]) / max(1.0, float(n_pieces[i])),
-                float(entropy[i]) / math.log2(min(n, ENTROPY_TOKENS)) if n > 1 else 1.0,
+                min(1.0, float(entropy[i]) / math.log2(min(n, ENTROPY_TOKENS))) if n > 1 else 1.0,
                 script_of(text),
             )
         )
