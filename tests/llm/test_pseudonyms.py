@@ -43,6 +43,22 @@ def test_formats(build, text, kind, form):
     assert pseudonyms.pseudonymised(build([(1, row.text)]), "k").first().pii == [kind]
 
 
+def test_phones_of_any_area_code(build, workers):
+    """Codes and exchanges from 000 on, in every written form; no two numbers meet."""
+    from pyspark.sql import functions as F
+
+    texts = ["+1 (017) 555-7713", "+1 (543) 155-7713", "(117) 055-0001", "017-555-7713", "000.000.0000"]
+    rows = pseudonyms.pseudonymised(build(list(enumerate(texts))), "k").collect()
+    for text, row in zip(texts, rows, strict=True):
+        assert row.pii == ["phone"] and row.text != text
+        assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", text)
+        assert pseudonyms.pseudonymised(build([(1, row.text)]), "k").first().pii == ["phone"]
+    assert re.sub(r"\D", "", rows[0].text) == "1" + re.sub(r"\D", "", rows[3].text)
+    prefix = F.format_string("(%03d) %03d-1234", F.expr("id div 90"), F.expr("id % 90 * 11"))
+    numbers = workers.range(18_000).select(F.col("id").alias("doc_id"), prefix.alias("text"))
+    assert pseudonyms.pseudonymised(numbers, "k").select("text").distinct().count() == 18_000
+
+
 def test_what_is_not_valid_stays(build):
     texts = ["4349000490986232", "300.1.1.1", "2023-02-29", "31/04/2020", "666-12-1234", "GB82WEST12345698765431", "v1.2.3.4.5", "12345"]
     assert swapped(build, texts) == texts

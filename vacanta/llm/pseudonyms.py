@@ -33,7 +33,7 @@ ACCOUNT = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
 ADDRESS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 DAY_FIRST = r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}"
-PHONE = r"(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
+PHONE = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
 # Longer formats stand before those they contain.
@@ -280,26 +280,43 @@ def pseudonym(value: Column, kind: Column, key: Column) -> Column:
         permute_pair(F.floor(day / DAYS_B), day % DAYS_B, DAYS_A, DAYS_B, key, "date"), dated
     )
 
-    # A leading 1 is the country's; area codes and exchanges start with 2 to 9.
+    # A leading 1 is the country's. Numbers whose area code and exchange start with 2 to 9
+    # are permuted among each other, and so are all others: 360,000 = 600 * 600 prefixes.
     ten = F.substring(digits, -10, 10)
-    phone = _bound(
-        permute_pair(
-            _number(ten, 1, 3) - 200,
-            (_number(ten, 4, 3) - 200) * 10_000 + _number(ten, 7, 4),
-            800,
-            8_000_000,
-            key,
-            "phone",
-        ),
-        lambda p: _refilled(
+    code, exchange, line = _number(ten, 1, 3), _number(ten, 4, 3), _number(ten, 7, 4)
+
+    def dialled(code: Column, exchange: Column, line: Column) -> Column:
+        parts = ((code, 3), (exchange, 3), (line, 4))
+        return _refilled(
             value,
             F.concat(
                 F.when(F.length(digits) > 10, F.substring(digits, 1, 1)).otherwise(""),
-                (p.a + 200).cast("string"),
-                (F.floor(p.b / 10_000) + 200).cast("string"),
-                F.lpad((p.b % 10_000).cast("string"), 4, "0"),
+                *(F.lpad(part.cast("string"), n, "0") for part, n in parts),
             ),
-        ),
+        )
+
+    assigned = _bound(
+        permute_pair(code - 200, (exchange - 200) * 10_000 + line, 800, 8_000_000, key, "phone"),
+        lambda p: dialled(p.a + 200, F.floor(p.b / 10_000) + 200, p.b % 10_000),
+    )
+    prefix = F.when(code < 200, code * 1_000 + exchange).otherwise(200_000 + (code - 200) * 200 + exchange)
+
+    def unassigned(p: Column) -> Column:
+        at = p.a * 600 + F.floor(p.b / 10_000)
+        low = at < 200_000
+        return dialled(
+            F.when(low, F.floor(at / 1_000)).otherwise(F.floor((at - 200_000) / 200) + 200),
+            F.when(low, at % 1_000).otherwise((at - 200_000) % 200),
+            p.b % 10_000,
+        )
+
+    phone = F.when((code >= 200) & (exchange >= 200), assigned).otherwise(
+        _bound(
+            permute_pair(
+                F.floor(prefix / 600), prefix % 600 * 10_000 + line, 600, 6_000_000, key, "phone-other"
+            ),
+            unassigned,
+        )
     )
 
     area = _number(digits, 1, 3)
