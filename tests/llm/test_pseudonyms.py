@@ -59,6 +59,12 @@ def test_phones_of_any_area_code(build, workers):
     assert pseudonyms.pseudonymised(numbers, "k").select("text").distinct().count() == 18_000
 
 
+def test_date_of_a_timestamp(build):
+    long, short, alone = swapped(build, ["at 2024-05-01T10:00:00Z.", "2024-05-01T1000", "2024-05-01"])
+    assert alone != "2024-05-01"
+    assert (long, short) == (f"at {alone}T10:00:00Z.", f"{alone}T1000")
+
+
 def test_what_is_not_valid_stays(build):
     texts = ["4349000490986232", "300.1.1.1", "2023-02-29", "31/04/2020", "666-12-1234", "GB82WEST12345698765431", "v1.2.3.4.5", "12345"]
     assert swapped(build, texts) == texts

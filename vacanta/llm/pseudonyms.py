@@ -40,6 +40,7 @@ CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{
 _BEFORE, _AFTER = r"(?<![A-Za-z0-9])(?<![0-9][./-])", r"(?![A-Za-z0-9])(?![./-][0-9])"
 VALUE = (
     rf"(?<![A-Za-z0-9._%+@-]){EMAIL}(?![A-Za-z0-9@])"
+    rf"|{_BEFORE}{ISO_DATE}(?=T[0-9]{{2}}:?[0-9]{{2}})"  # the date of a timestamp
     rf"|{_BEFORE}(?:{ACCOUNT}|{ADDRESS}|{ISO_DATE}|{DAY_FIRST}|{SOCIAL}|{CARD}){_AFTER}"
     rf"|(?<![A-Za-z0-9(])(?<![0-9][./+-])(?:{PHONE}){_AFTER}"
 )
