@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, sql, suffix_dedup, toxicity
+from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, spelling, sql, suffix_dedup, toxicity
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,7 @@ CHECKS: dict[str, str] = {
     "op4_dart_minhash": sql.OP4,
     "op7_prefix_filtered_join": sql.OP7,
     "op8_blob_ledger": sql.OP8,
+    "op11_bit_sliced_spelling": sql.OP11,
 }
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -212,3 +213,9 @@ def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+@job
+def op11_bit_sliced_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of the documents with its more frequent form, the root and near words."""
+    return spelling.variants(table(spark, folder, "documents"))

@@ -121,3 +121,43 @@ listed AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN listed USING (doc_id)"""
+
+# Checksums as in OP2. Replaced letters: words equal but for one place; added ones: words
+# equal to another one without a letter.
+OP11 = f"""
+WITH RECURSIVE step(i, c, n) AS (
+  SELECT i, i, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), n + 1 FROM step WHERE n < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM step WHERE n = 8),
+runs AS (
+  SELECT concat(doc_id, ':', run) AS key, run FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{UPPER}', '{UPPER.lower()}') AS run FROM documents)
+  WHERE length(run) >= 7),
+hashed AS (
+  SELECT run, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(regexp_extract_all(hex(encode(key)), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM runs, tab),
+words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+      ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY 1 HAVING count(*) >= 2),
+places AS (
+  SELECT word, n, left(word, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT word, n, a || b AS less FROM places),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM places x JOIN places y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.less = w.word
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.less = w.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS form_n, arg_min(other, (-n, other)) AS form FROM near GROUP BY 1),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+paths(word, last) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT p.word, f.form FROM paths p JOIN formed f ON p.last = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT p.word, p.last AS root FROM paths p JOIN formed f ON p.last = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
