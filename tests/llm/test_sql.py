@@ -8,7 +8,7 @@ from vacanta.llm.queries import CHECKS, JOBS
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     return con
 
@@ -24,4 +24,4 @@ def test_query_equals_sql(workers, duck, name):
 
 def test_checks_belong_to_queries():
     assert set(CHECKS) <= set(JOBS)
-    assert sorted(int(n[2:].split("_")[0]) for n in JOBS) == [*range(1, 12)]
+    assert sorted(int(n[2:].split("_")[0]) for n in JOBS) == [*range(1, 13)]

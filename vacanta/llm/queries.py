@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, dart_minhash, decontamination, fertility, histogram_sort, packing, pseudonyms, secret_ledger, spelling, sql, suffix_dedup, toxicity
+from vacanta.llm import bpe, dart_minhash, decontamination, fertility, hard_negatives, histogram_sort, packing, pseudonyms, secret_ledger, spelling, sql, suffix_dedup, toxicity
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,7 @@ CHECKS: dict[str, str] = {
     "op7_prefix_filtered_join": sql.OP7,
     "op8_blob_ledger": sql.OP8,
     "op11_bit_sliced_spelling": sql.OP11,
+    "op12_str_tree_negatives": sql.OP12,
 }
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -219,3 +220,14 @@ def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
 def op11_bit_sliced_spelling(spark: SparkSession, folder: str) -> DataFrame:
     """Every word of the documents with its more frequent form, the root and near words."""
     return spelling.variants(table(spark, folder, "documents"))
+
+
+@job
+def op12_str_tree_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Five hard negatives of every anchor and positive, some labels made wrong on purpose."""
+    label = F.col("label").cast("long")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.usable(
+        table(spark, folder, "embeddings"), F.col("vec_id"), F.col("embedding"), noisy, scale=256
+    )
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)

@@ -161,3 +161,25 @@ paths(word, last) AS (
   UNION ALL SELECT p.word, f.form FROM paths p JOIN formed f ON p.last = f.word WHERE f.form IS NOT NULL),
 ends AS (SELECT p.word, p.last AS root FROM paths p JOIN formed f ON p.last = f.word WHERE f.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
+
+# All pairs of anchors and rows.
+OP12 = """
+WITH numbered AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM numbered a JOIN numbered b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.id, n.r) AS INT) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same
+WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5"""
