@@ -24,4 +24,4 @@ def test_query_equals_sql(workers, duck, name):
 
 def test_checks_belong_to_queries():
     assert set(CHECKS) <= set(JOBS)
-    assert sorted(int(n[2:].split("_")[0]) for n in JOBS) == [*range(1, 13)]
+    assert sorted(int(n[2:].split("_")[0]) for n in JOBS) == [*range(1, 14)]

@@ -13,7 +13,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import bpe, dart_minhash, decontamination, fertility, hard_negatives, histogram_sort, packing, pseudonyms, secret_ledger, spelling, sql, suffix_dedup, toxicity
+from vacanta.llm import (
+    bpe,
+    dart_minhash,
+    decontamination,
+    fertility,
+    hard_negatives,
+    histogram_sort,
+    packing,
+    pseudonyms,
+    quality_discriminant,
+    secret_ledger,
+    spelling,
+    sql,
+    suffix_dedup,
+    toxicity,
+)
 from vacanta.session import scratch_path
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +246,18 @@ def op12_str_tree_negatives(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "embeddings"), F.col("vec_id"), F.col("embedding"), noisy, scale=256
     )
     return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+@job
+def op13_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents; a fifth of the ids is never learned from."""
+    found = quality_discriminant.measured(table(spark, folder, "documents"))
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = table(spark, folder, "labels").select("doc_id", "quality").filter(~held_out)
+    model = quality_discriminant.train(labels, found)
+    return quality_discriminant.scored(found, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
