@@ -11,22 +11,22 @@ from vacanta.llm.queries import JOBS
 
 def brute(texts):
     data = [(t or "").encode() for t in texts]
-    seen = Counter(b[i : i + 400] for b in data for i in range(len(b) - 399))
+    seen = Counter(hash(b[i : i + 400]) for b in data for i in range(len(b) - 399))
     for b in data:
         gone = np.zeros(len(b), dtype=bool)
         for i in range(len(b) - 399):
-            if seen[b[i : i + 400]] > 1:
+            if seen[hash(b[i : i + 400])] > 1:
                 gone[i : i + 400] = True
         edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
         spans = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
         kept = bytes(np.frombuffer(b, dtype=np.uint8)[~gone])
-        yield len(b), spans, hashlib.sha256(kept).hexdigest()
+        yield len(b), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")
 
 
 def check(build, pairs):
     rows = suffix_dedup.repeated_spans(build(pairs)).collect()
     key = lambda r: (str(r[0]), *r[1:])
-    got = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256) for r in rows]
+    got = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256, r.kept_text) for r in rows]
     want = [(i, *w) for (i, _), w in zip(pairs, brute([t for _, t in pairs]), strict=True)]
     assert sorted(got, key=key) == sorted(want, key=key)
 
@@ -34,9 +34,9 @@ def check(build, pairs):
 def test_query_against_brute_force(workers):
     docs = workers.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: r for r in JOBS["op10_bucket_refinement"](workers, SMALL).collect()}
-    for d, (n, spans, digest) in zip(docs, brute([d.text for d in docs]), strict=True):
+    for d, (n, spans, digest, text) in zip(docs, brute([d.text for d in docs]), strict=True):
         r = got[d.doc_id]
-        assert (r.n_bytes, r.n_spans, r.kept_sha256) == (n, len(spans), digest)
+        assert (r.n_bytes, r.n_spans, r.kept_sha256, r.text) == (n, len(spans), digest, text)
         assert r.n_removed == sum(b - a for a, b in spans)
 
 
@@ -69,10 +69,17 @@ def test_edits_at_every_distance(build):
 
 
 def test_odd_rows(build, odd):
-    check(build, [(i, t[:3000] if t else t) for i, t in odd])
+    check(build, odd)
     assert suffix_dedup.repeated_spans(build([])).collect() == []
 
 
+def test_text_of_several_segments(build):
+    """A passage at the far end of a text of over 600,000 bytes is met again elsewhere."""
+    shared, long = prose(95, 100), prose(96, 130_000)
+    assert len(long) > suffix_dedup.SEGMENT + 100_000
+    check(build, [(1, long + shared), (2, prose(97, 50) + shared + prose(98, 20)), (3, long[500_000:500_900])])
+
+
 def test_shuffled_texts_and_segments(build, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BROADCAST_TEXTS", 0)
     shared = prose(90, 120)

@@ -228,6 +228,7 @@ def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
         length.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         "kept_sha256",
+        F.col("kept_text").alias("text"),
     )
 
 

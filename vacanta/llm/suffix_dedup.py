@@ -167,7 +167,7 @@ def _refined(blocks: DataFrame, size: int, kept) -> tuple[DataFrame, DataFrame]:
 
 def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans, digests = [], []
+        spans, digests, left = [], [], []
         for content, blocks in zip(batch.column(1), batch.column(2), strict=True):
             data = content.as_py().encode("utf-8", "surrogatepass")
             merged: list[list[int]] = []
@@ -183,27 +183,26 @@ def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     merged[-1][1] = max(merged[-1][1], end)
                 else:
                     merged.append([start, end])
-            kept, at = hashlib.sha256(), 0
-            for start, end in merged:
-                kept.update(data[at:start])
-                at = end
-            kept.update(data[at:])
+            cuts = [0, *(x for span in merged for x in span), len(data)]
+            kept = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
             spans.append([{"start": s, "end": e} for s, e in merged])
-            digests.append(kept.hexdigest())
+            digests.append(hashlib.sha256(kept).hexdigest())
+            left.append(kept.decode("utf-8", "replace"))
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(spans, kind), pa.array(digests, pa.string())],
-            names=["text_id", "spans", "kept_sha256"],
+            [batch.column(0), pa.array(spans, kind), pa.array(digests, pa.string()), pa.array(left, pa.string())],
+            names=["text_id", "spans", "kept_sha256", "left"],
         )
 
 
 def repeated_spans(
     documents: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """One row per document: ``keep``, n_bytes, spans, kept_sha256.
+    """One row per document: ``keep``, n_bytes, spans, kept_sha256, kept_text.
 
     ``spans`` are the maximal runs of removed bytes, (start, end) in UTF-8 bytes, end
-    exclusive; ``kept_sha256`` is the digest of the bytes outside them. A null text is
+    exclusive; ``kept_sha256`` is the digest of the bytes outside them and ``kept_text``
+    these bytes as text, a character that lost some of its bytes as U+FFFD. A null text is
     empty; texts of fewer than 400 bytes lose nothing. Equal rows and null ids give a row
     each, and equal texts of 400 bytes or more lose everything. No row, no result. Columns
     outside ``keep`` are ignored.
@@ -247,21 +246,27 @@ def repeated_spans(
             size = step
 
     removed = with_text(repeats.distinct(), "at", "low", "high", "near", "size").mapInArrow(
-        _removal, "text_id binary, spans array<struct<start:int,end:int>>, kept_sha256 string"
+        _removal, "text_id binary, spans array<struct<start:int,end:int>>, kept_sha256 string, left string"
     )
     removed = kept(removed)
-    return (
-        documents.select(
-            *(F.col(c).alias(f"_k_{c}") for c in keep),
-            F.unhex(F.md5(content)).alias("text_id"),
-            F.octet_length(content).cast("long").alias("n_bytes"),
-            F.sha2(content, 256).alias("whole_sha256"),
-        )
-        .join(removed, "text_id", "left")
-        .select(
-            *(F.col(f"_k_{c}").alias(c) for c in keep),
-            "n_bytes",
-            F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
-            F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
-        )
+    rows = documents.select(
+        *(F.col(c).alias(f"_k_{c}") for c in keep),
+        F.unhex(F.md5(content)).alias("text_id"),
+        F.octet_length(content).cast("long").alias("n_bytes"),
+        content.alias("whole"),
+    )
+    digests = removed.select("text_id")
+    if removed.count() <= BROADCAST_TEXTS:  # else texts and digests meet by a shuffle
+        digests = F.broadcast(digests)
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    untouched = rows.join(digests, "text_id", "left_anti").select(
+        "*", none.alias("spans"), F.sha2("whole", 256).alias("kept_sha256"), F.col("whole").alias("left")
+    )
+    touched = rows.drop("whole").join(digests, "text_id", "left_semi").join(removed, "text_id")
+    return untouched.drop("whole").unionByName(touched).select(
+        *(F.col(f"_k_{c}").alias(c) for c in keep),
+        "n_bytes",
+        "spans",
+        "kept_sha256",
+        F.col("left").alias("kept_text"),
     )
