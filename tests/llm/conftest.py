@@ -19,6 +19,7 @@ DOCUMENTS = T.StructType(
         T.StructField("shard", T.IntegerType()),
         T.StructField("blob", T.StringType()),
         T.StructField("size", T.StringType()),
+        *(T.StructField(n, T.StringType()) for n in ("_id", "_found", "_digest", "pii_found", "document_key")),
     ]
 )
 
@@ -37,7 +38,7 @@ def build(workers):
 
     def make(pairs):
         rows = [
-            (i, t, ("en", None)[n % 2], None, None, "k", "r", None, 3, "b", "s")
+            (i, t, ("en", None)[n % 2], None, None, "k", "r", None, 3, "b", "s", "i", "f", None, "p", "d")
             for n, (i, t) in enumerate(pairs)
         ]
         return workers.createDataFrame(rows, DOCUMENTS)

@@ -1,11 +1,13 @@
 import hashlib
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SMALL
 from vacanta.llm import histogram_sort
 from vacanta.llm.queries import JOBS
+from vacanta.session import scratch_path
 
 
 def key(value):
@@ -35,12 +37,17 @@ def test_query_against_a_full_sort(workers):
 
 
 def keyed(docs):
-    return docs.select(
+    narrow = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         histogram_sort.hash_key(F.col("text")).alias("k1"),
         histogram_sort.hash_key(F.col("doc_id")).alias("k2"),
+        histogram_sort.row_key().alias("k3"),
+        F.lit("x").alias("cell"),
     )
+    path = scratch_path(docs.sparkSession, "keyed")
+    narrow.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
 def gapless(rows):
@@ -58,9 +65,17 @@ def test_hot_group_is_shared_out(build):
     assert max(sizes) - min(sizes) <= 20
 
 
+@pytest.mark.parametrize("spread", [1000, 10])
+def test_repeated_rows_without_id_are_shared_out(build, monkeypatch, spread):
+    """A third of all rows are one row without id; no shard is more than a row off."""
+    monkeypatch.setattr(histogram_sort, "HEAVY_ROWS", spread)
+    rows = histogram_sort.histogram_shards(keyed(build([(None, "the same")] * 1000 + [(i, f"text {i}") for i in range(2000)])), 16).collect()
+    assert len(rows) == 3000 and gapless(rows)
+    sizes = [sum(r.size for r in rows if r.shard == s) for s in range(16)]
+    assert max(sizes) - min(sizes) <= 20
+
+
 def test_odd_rows(build, odd):
     rows = histogram_sort.histogram_shards(keyed(build(odd)), 3).collect()
     assert len(rows) == len(odd) and gapless(rows)
-    same = [r.shard for r in rows if r.doc_id == 6]
-    assert same[0] == same[1]
     assert histogram_sort.histogram_shards(keyed(build([])), 3).collect() == []

@@ -14,17 +14,17 @@ def text_md5(text: str = "text") -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
-def _keyed(frame: DataFrame, doc_id: Column, digest: Column) -> DataFrame:
-    return frame.withColumns(
-        {
-            "_id_null": doc_id.isNull(),
-            "_id": F.coalesce(doc_id.cast("string"), F.lit("")),
-            "_digest": digest,
-        }
-    )
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``frame`` is called so."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-_KEY = ["_id_null", "_id", "_digest"]
+def _key(doc_id: Column, digest: Column) -> Column:
+    null = doc_id.isNull()
+    return F.struct(null.alias("none"), F.coalesce(doc_id.cast("string"), F.lit("")).alias("id"), digest.alias("digest"))
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -33,13 +33,15 @@ def _small(keys: DataFrame) -> DataFrame:
 
 def without(documents: DataFrame, taken: DataFrame) -> DataFrame:
     """The documents whose (doc_id, text_md5) is not in ``taken``; null ids are equal."""
-    keys = _keyed(taken, F.col("doc_id"), F.col("text_md5")).select(*_KEY).distinct()
-    rows = _keyed(documents, F.col("doc_id"), text_md5())
-    return rows.join(_small(keys), _KEY, "left_anti").drop(*_KEY)
+    name = free_name(documents, "document_key")
+    keys = taken.select(_key(F.col("doc_id"), F.col("text_md5")).alias(name)).distinct()
+    rows = documents.withColumn(name, _key(F.col("doc_id"), text_md5()))
+    return rows.join(_small(keys), name, "left_anti").drop(name)
 
 
 def once(documents: DataFrame, again: DataFrame) -> DataFrame:
     """One row of each (doc_id, text_md5) in ``again``."""
-    keys = _keyed(again, F.col("doc_id"), F.col("text_md5")).select(*_KEY).distinct()
-    rows = _keyed(documents, F.col("doc_id"), text_md5())
-    return rows.join(_small(keys), _KEY, "left_semi").dropDuplicates(_KEY).drop(*_KEY)
+    name = free_name(documents, "document_key")
+    keys = again.select(_key(F.col("doc_id"), F.col("text_md5")).alias(name)).distinct()
+    rows = documents.withColumn(name, _key(F.col("doc_id"), text_md5()))
+    return rows.join(_small(keys), name, "left_semi").dropDuplicates([name]).drop(name)

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacanta.llm.identity import free_name
+
 ROUNDS = 8
 # Dates between these are permuted among each other; 73,049 days = 17 * 4,297.
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 17, 4297
@@ -365,23 +367,24 @@ def pseudonymised(documents: DataFrame, key: str, text: str = "text") -> DataFra
         F.regexp_extract_all(text, F.lit(VALUE), F.lit(0)),
         lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind")),
     )
+    out = [c for c in documents.columns if c != "pii"]
+    some, swaps, parts = (free_name(documents, c) for c in ("pii_found", "pii_swapped", "pii_between"))
     swapped = F.transform(
-        "_found", lambda f: F.when(f.kind.isNull(), f.value).otherwise(pseudonym(f.value, f.kind, secret))
+        some, lambda f: F.when(f.kind.isNull(), f.value).otherwise(pseudonym(f.value, f.kind, secret))
     )
     between = F.split(text, VALUE, -1)
     joined = F.array_join(
-        F.transform("_between", lambda part, n: F.concat(part, F.coalesce(F.get("_swapped", n), F.lit("")))), ""
+        F.transform(parts, lambda part, n: F.concat(part, F.coalesce(F.get(swaps, n), F.lit("")))), ""
     )
-    kinds = F.transform(F.filter("_found", lambda f: f.kind.isNotNull()), lambda f: f.kind)
-    out = [c for c in documents.columns if c != "pii"]
+    kinds = F.transform(F.filter(some, lambda f: f.kind.isNotNull()), lambda f: f.kind)
     return (
         documents.select(*out)
-        .withColumn("_found", found)
-        .withColumn("_swapped", swapped)
-        .withColumn("_between", F.when(F.size("_found") > 0, between))
+        .withColumn(some, found)
+        .withColumn(swaps, swapped)
+        .withColumn(parts, F.when(F.size(some) > 0, between))
         .select(
             *(
-                F.when(F.size("_found") > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
+                F.when(F.size(some) > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
                 for c in out
             ),
             F.coalesce(kinds, F.array().cast("array<string>")).alias("pii"),

@@ -111,6 +111,7 @@ def op2_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"),
         histogram_sort.hash_key(text).alias("k1"),
         histogram_sort.hash_key(F.col("doc_id")).alias("k2"),
+        histogram_sort.row_key().alias("k3"),
     )
     path = scratch_path(spark, "histogram-keys")
     narrow.write.parquet(path)
@@ -126,14 +127,18 @@ def op2_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# In production the key comes from a secret store; here it only has to be the same.
-PSEUDONYM_KEY = "test-key"
+# The session names the key; without one, that of tests is taken.
+KEY_SETTING, TEST_KEY = "vacanta.pseudonyms.key", "test-key"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
 
 
 @job
 def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's text with valid values replaced, and how many of each kind."""
-    found = pseudonyms.pseudonymised(table(spark, folder, "documents"), PSEUDONYM_KEY)
+    found = pseudonyms.pseudonymised(table(spark, folder, "documents"), pseudonym_key(spark))
 
     def number(kind: str):
         return F.size(F.filter("pii", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
