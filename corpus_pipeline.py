@@ -12,7 +12,7 @@ from vacanta.llm import bpe, dart_minhash, decontamination, fertility, identity,
 from vacanta.llm.queries import (
     BYTE_RANKS,
     PIECE_MODEL,
-    PSEUDONYM_KEY,
+    pseudonym_key,
     public_tokenizers,
     ship,
     table,
@@ -59,13 +59,16 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, valid personal values replaced; n_chars counts the new text."""
-    found = pseudonyms.pseudonymised(docs, PSEUDONYM_KEY)
+    found = pseudonyms.pseudonymised(docs, pseudonym_key(spark))
     length = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
     return found.withColumns(length).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's packed token ids, and the digest of what they decode to."""
+    """Every document's packed token ids, and the digest of what they decode to.
+
+    The last stage: of the other columns only doc_id, lang and source stay.
+    """
     ship(spark)
     return bpe.encode_texts(
         docs,
