@@ -3,8 +3,9 @@ import random
 import numpy as np
 import public_tokenizers
 
+from tests.llm.conftest import SMALL
 from vacanta.llm import bpe, packing
-from vacanta.llm.queries import BYTE_RANKS, FREE_ID
+from vacanta.llm.queries import BYTE_RANKS, FREE_ID, JOBS
 
 
 def plain_best_fit(lengths, size):
@@ -56,6 +57,34 @@ def test_round_trip(build, odd):
         assert sorted(parts.get(doc, [])) == want
 
 
+def test_text_ids_and_repeated_rows(workers):
+    """Ids keep their type, large ones their digits; repeated rows are dealt over the groups."""
+    rows = [("a", "one two three"), (None, "four"), ("b", "x " * 300)] + [("c", "same text " * 30)] * 400
+    frame = workers.createDataFrame(rows, "doc_id string, text string")
+    got = packing.packed_rows(frame, BYTE_RANKS, public_tokenizers.PATTERN, FREE_ID, row_tokens=100, group_bytes=4_000).collect()
+    assert sorted(str(d) for r in got for d in r.doc_ids if d != "c") == ["None", "a", *["b"] * 4]
+    sizes = [sum(r.segment_ends[-1] for r in got if r.pack_group == g) for g in {r.pack_group for r in got}]
+    assert len(sizes) > 20 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    large = workers.createDataFrame([((1 << 60) + 1, "a b"), (None, "c")], "doc_id long, text string")
+    got = packing.packed_rows(large, BYTE_RANKS, public_tokenizers.PATTERN, FREE_ID).collect()
+    assert {d for r in got for d in r.doc_ids} == {(1 << 60) + 1, None}
+
+
+def test_query_round_trip(workers):
+    """Every document of the table comes back from the registered query."""
+    docs = workers.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    parts = {}
+    for r in JOBS["op9_best_fit_packing"](workers, SMALL).collect():
+        ids = np.frombuffer(r.ids, dtype="<u2")
+        for start, end, doc, chunk in zip(r.segment_ends, r.segment_ends[1:], r.doc_ids, r.chunks, strict=False):
+            parts.setdefault(doc, {})[chunk] = ids[start:end].astype("<u4").tobytes()
+    codec = bpe.codec(BYTE_RANKS, public_tokenizers.PATTERN)
+    for d in docs:
+        found = parts.pop(d.doc_id, {})
+        assert b"".join(found[n] for n in range(len(found))) == codec.encode(d.text or "")
+    assert not parts
+
+
 def test_no_rows(build):
     assert packed(build, []) == []
     assert packed(build, [(1, None), (2, "")]) == []

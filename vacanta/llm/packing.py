@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +24,8 @@ from vacanta.llm.bpe import codec, worker_path
 
 ROW_TOKENS = 4096
 GROUP_BYTES = 8 << 20
+GROUP_CHUNKS = 64  # neighbouring chunks of a document that stay in one group
+MOST_TASKS = 20_000
 
 
 class RoomTree:
@@ -98,71 +99,76 @@ def packed_rows(
     padding. ``doc_ids`` and ``chunks``: the document and the number of the chunk of each
     segment; a document's chunks in order are exactly its tokens.
 
-    Null and empty texts have no tokens and no segment. Rows without id are dealt over
-    the groups and keep a null in ``doc_ids``; repeated rows are packed like any other. An
-    empty table gives no rows. Other columns are ignored.
+    Null and empty texts have no tokens and no segment. Ids keep their type; null ids stay
+    null. Rows are dealt over the groups by id, text and place in the table, and a long
+    document's chunks over several groups, so neither repeated rows nor one document make a
+    group larger than others. An empty table gives no rows. Other columns are ignored.
     """
     total = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
     kind = "<u2" if pad_id < 1 << 16 else "<u4"
     narrow = documents.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.coalesce(
-            F.pmod(F.xxhash64(F.when(F.col(doc_id).isNotNull(), F.struct(doc_id, text))), F.lit(groups)),
-            F.lit(0),
-        ).cast("int").alias("pack_group"),
-        F.col(doc_id).isNull().alias("loose"),
+        F.col(doc_id).alias("doc_id"),
+        F.pmod(F.xxhash64(F.struct(doc_id, text), F.monotonically_increasing_id()), F.lit(groups)).alias("pack_group"),
         F.col(text).alias("text"),
     )
+    id_type = narrow.schema["doc_id"].dataType.simpleString()
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(worker_path(rank_file), pattern)
-        dealt = 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256).to_pydict()
+                part = batch.slice(start, 256)
                 rows = []
-                for key, group, loose, content in zip(*part.values(), strict=True):
+                for row, (group, content) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)):
                     ids = np.frombuffer(bpe.encode(content or ""), dtype="<u4").astype(kind)
-                    if loose:
-                        dealt += 1
-                        group = dealt % groups
                     for n, at in enumerate(range(0, len(ids), row_tokens)):
                         piece = ids[at : at + row_tokens]
-                        rows.append((group, key, n, len(piece), piece.tobytes()))
-                columns = zip(*rows) if rows else ((),) * 5
-                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                        rows.append(((group + n // GROUP_CHUNKS) % groups, n, len(piece), piece.tobytes(), row))
+                group, n, length, ids, at = zip(*rows) if rows else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    [
+                        pa.array(group, pa.int64()),
+                        part.column(0).take(pa.array(at, pa.int64())),
+                        pa.array(n, pa.int32()),
+                        pa.array(length, pa.int32()),
+                        pa.array(ids, pa.binary()),
+                    ],
                     names=["pack_group", "doc_id", "chunk", "length", "ids"],
                 )
 
-    chunks = narrow.mapInArrow(chunked, "pack_group int, doc_id long, chunk int, length int, ids binary")
+    chunks = narrow.mapInArrow(chunked, f"pack_group long, doc_id {id_type}, chunk int, length int, ids binary")
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "chunk", "ids"], na_position="first", ignore_index=True)
-        lengths = group["length"].tolist()
-        ids, doc_ids, numbers = group["ids"].tolist(), group["doc_id"], group["chunk"].tolist()
-        doc_ids = [None if pd.isna(x) else int(x) for x in doc_ids]
-        out = []
-        for pack, row in enumerate(best_fit_decreasing(lengths, row_tokens)):
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in ("doc_id", "chunk", "ids")])
+        lengths, ids, numbers = (group[c].to_pylist() for c in ("length", "ids", "chunk"))
+        rows = best_fit_decreasing(lengths, row_tokens)
+        packed, every, resets = [], [], []
+        for row in rows:
             ends = np.concatenate([[0], np.cumsum([lengths[i] for i in row])]).tolist()
             padding = np.full(row_tokens - ends[-1], pad_id, dtype=kind).tobytes()
-            out.append(
-                {
-                    "pack_group": int(group["pack_group"].iloc[0]),
-                    "pack": pack,
-                    "ids": b"".join(ids[i] for i in row) + padding,
-                    "segment_ends": ends,
-                    "position_resets": ends[:-1] + ([ends[-1]] if ends[-1] < row_tokens else []),
-                    "doc_ids": [doc_ids[i] for i in row],
-                    "chunks": [numbers[i] for i in row],
-                }
-            )
-        return pd.DataFrame(out)
-
-    return chunks.groupBy("pack_group").applyInPandas(
+            packed.append(b"".join(ids[i] for i in row) + padding)
+            every.append(ends)
+            resets.append(ends[:-1] + ([ends[-1]] if ends[-1] < row_tokens else []))
+        doc_ids = group["doc_id"].combine_chunks().take(pa.array([i for row in rows for i in row], pa.int64()))
+        starts = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
+        ints = pa.list_(pa.int32())
+        return pa.table(
+            {
+                "pack_group": pa.array([group["pack_group"][0].as_py()] * len(rows), pa.int32()),
+                "pack": pa.array(range(len(rows)), pa.int32()),
+                "ids": pa.array(packed, pa.binary()),
+                "segment_ends": pa.array(every, ints),
+                "position_resets": pa.array(resets, ints),
+                "doc_ids": pa.ListArray.from_arrays(starts, doc_ids),
+                "chunks": pa.array([[numbers[i] for i in row] for row in rows], ints),
+            }
+        )
+
+    # A task takes few groups, however many there are.
+    tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(groups, MOST_TASKS))
+    return chunks.repartition(tasks, "pack_group").groupBy("pack_group").applyInArrow(
         pack,
         "pack_group int, pack int, ids binary, segment_ends array<int>, "
-        "position_resets array<int>, doc_ids array<long>, chunks array<int>",
+        f"position_resets array<int>, doc_ids array<{id_type}>, chunks array<int>",
     )
