@@ -39,6 +39,53 @@ def test_spark_scores_equal_plain_scores(workers):
         assert abs(r.score - 1 / (1 + np.exp(-margin))) < 1e-9
 
 
+def test_repeated_keys_do_not_grow_the_sample(workers):
+    """A third of all rows under one id, labelled a hundred times, leave the model as it is."""
+    rows = labelled(workers, 200)
+    model = toxicity.train(rows, rows)
+    one = rows.filter("doc_id = 4")
+    many = rows.unionByName(one.crossJoin(workers.range(100)).drop("id"))
+    again = toxicity.train(many, many)
+    assert again.bias == model.bias and (again.weights == model.weights).all()
+
+
+def plain_margins(texts, labels):
+    """Ratios by definition and a slow gradient descent, over n-grams as text."""
+    grams = [{t[i : i + n] for n in toxicity.ORDERS for i in range(len(t) - n + 1)} for t in texts]
+    n1, n0 = sum(labels), len(labels) - sum(labels)
+    ratios = {}
+    for g in set().union(*grams):
+        a = sum(g in x for x, y in zip(grams, labels, strict=True) if y)
+        b = sum(g in x for x, y in zip(grams, labels, strict=True) if not y)
+        r = np.log((a + n1 / (n1 + n0)) / n1) - np.log((b + n0 / (n1 + n0)) / n0)
+        G = 2 * sum(
+            o * np.log(o / e)
+            for seen, size in ((a, n1), (b, n0))
+            for o, e in ((seen, (a + b) * size / (n1 + n0)), (size - seen, (n1 + n0 - a - b) * size / (n1 + n0)))
+            if o
+        )
+        if a + b >= toxicity.MIN_TEXTS and abs(r) >= toxicity.MIN_RATIO and G >= toxicity.MIN_EVIDENCE:
+            ratios[g] = r
+    order = sorted(ratios)
+    x = np.array([[ratios[g] if g in s else 0.0 for g in order] for s in grams])
+    y, w, b = np.array(labels, float), np.zeros(len(order)), np.log(n1 / n0)
+    for _ in range(4000):
+        error = (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        w -= 0.02 * (x.T @ error + toxicity.PENALTY * w)
+        b -= 0.02 * error.sum()
+    return x @ w + b
+
+
+def test_fit_agrees_with_a_plain_solver(workers):
+    rows = labelled(workers, 120)
+    model = toxicity.train(rows, rows)
+    kept = rows.orderBy("doc_id").collect()
+    slow = plain_margins([r.text.lower() for r in kept], [r.toxic for r in kept])
+    fast = np.array([np.log(s / (1 - s)) for s in (toxicity.score_text(r.text, model) for r in kept)])
+    assert np.corrcoef(slow, fast)[0, 1] > 0.97
+    assert ((slow > 0) == (fast > 0)).mean() > 0.97
+
+
 def test_ngrams_by_hand():
     """A bucket per distinct n-gram, whatever surrounds it; case does not matter."""
     found = set(toxicity.buckets_of("abcde").tolist())

@@ -130,13 +130,14 @@ def train(
     The sample is drawn from the labels alone and has at most ``TOXIC_ROWS`` +
     ``CLEAN_ROWS`` rows, so its keys may go to every task that reads documents, and only
     the sampled texts move. Null or other labels, null keys and keys without a document
-    are left out; rows of a repeated key count each. Without rows of both classes the
+    are left out. A key counts once for each label it has, with one text (the smallest of a
+    repeated key), so repeated rows do not make the sample larger. Without rows of both classes the
     model scores every text with the share of toxic rows, or 0.5 without any row.
     """
     spark = documents.sparkSession
     rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1) & F.col("key").isNotNull()
-    )
+    ).distinct()
     totals = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
@@ -158,6 +159,8 @@ def train(
     (
         documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
         .join(F.broadcast(drawn), "key")
+        .groupBy("key", "y")
+        .agg(F.min("text").alias("text"))
         .repartition(12, "key")
         .write.parquet(path)
     )
