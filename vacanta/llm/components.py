@@ -31,7 +31,8 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         else:
             both = edges
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the join's two sides are plain shuffles and a hot node can be split.
+        least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         joined = both.join(least, "u")
         if larger_only:
             moved = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -376,6 +376,7 @@ def near_duplicates(
     whole_class = counted.groupBy("class").agg(
         F.min(order).alias("of"), F.sum("n_copies").alias("class_size")
     )
+    whole_class = kept("whole-classes", whole_class)  # written: a hot class can be split
     by_key = counted.join(whole_class, "class").select(
         "key",
         F.col("of.least").alias("class_id"),
