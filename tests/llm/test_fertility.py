@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -78,6 +79,21 @@ def test_scripts():
     assert fertility.script_of("привет ok") == "Cyrillic"
     assert fertility.script_of("中文字 a") == "Han"
     assert fertility.script_of("1 2 3") is None
+    assert fertility.script_of("สวัสดี") == "Thai" and fertility.script_of("ᠮᠣᠩᠭᠣᠯ") == fertility.OTHER
+
+
+def test_other_scripts_and_letterless_texts(build):
+    """Digits and the same few letters over and over are out of band, varied text is not."""
+    rng = random.Random(6)
+
+    def words(letters, n=120):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    thai, georgian = "".join(map(chr, range(0xE01, 0xE2F))), "".join(map(chr, range(0x10D0, 0x10F1)))
+    texts = [words("0123456789"), words("#-/ ."), words("ก"), "ა ა " * 300, words(thai), words(georgian), words(thai, 3)]
+    rows = fertility.measured(build(list(enumerate(texts))), BYTE_RANKS, public_tokenizers.PATTERN, PIECE_MODEL)
+    kept = dict(rows.select("doc_id", fertility.in_band()).collect())
+    assert [kept[i] for i in range(7)] == [False, False, False, False, True, True, True]
 
 
 def test_rich_texts_are_not_beyond_the_entropy_band(build):

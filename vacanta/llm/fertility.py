@@ -55,7 +55,11 @@ class Band:
     entropy_share: tuple[float, float] = (0.5, 1.0)
 
 
-SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Han", "Hangul", "Hiragana")
+SCRIPTS = (
+    "Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Han", "Hangul", "Hiragana", "Katakana", "Thai", "Devanagari",
+    "Bengali", "Tamil", "Armenian", "Georgian",
+)
+OTHER = "other"  # letters of no script above
 
 MEASURES = T.StructType(
     [
@@ -152,12 +156,12 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+").findall
 
 
 def script_of(text: str) -> str | None:
-    """The script of most letters among those of ``SCRIPTS``; None without any."""
+    """The script of most letters among those of ``SCRIPTS``, else ``OTHER``; None without letters."""
     if not _NOT_LATIN(text):
         return "Latin" if _LATIN(text) else None
     letters = {name: len(found.findall(text)) for name, found in _SCRIPT.items()}
     best = max(letters, key=letters.get)
-    return best if letters[best] else None
+    return best if letters[best] else OTHER
 
 
 def measures(texts: list[str | None], known: Vocabulary) -> list[tuple]:
@@ -240,6 +244,13 @@ BANDS = {
     "Han": Band(chars_per_token=(0.3, 4.0), chars_per_piece=(0.3, 4.0), fallback_share=(0, 0.8)),
     "Hangul": Band(chars_per_token=(0.3, 4.0), chars_per_piece=(0.3, 4.0), fallback_share=(0, 0.9)),
     "Hiragana": Band(chars_per_token=(0.3, 4.0), chars_per_piece=(0.3, 4.0), fallback_share=(0, 0.8)),
+    "Katakana": Band(chars_per_token=(0.3, 4.0), chars_per_piece=(0.3, 4.0), fallback_share=(0, 0.8)),
+    # Scripts that the vocabularies hold few pieces of: characters fall back to their bytes,
+    # whose entropy is low, so only the repetition of very few of them is far from prose.
+    **{
+        name: Band(chars_per_token=(0.3, 6.0), chars_per_piece=(0.3, 6.0), fallback_share=(0, 1), entropy_share=(0.25, 1.0))
+        for name in ("Thai", "Devanagari", "Bengali", "Tamil", "Armenian", "Georgian", OTHER)
+    },
 }
 
 
@@ -294,12 +305,14 @@ def in_band(
 ):
     """True where all measures lie in the band of the language, else of the script.
 
-    ``language`` is a Column or None. A text without either band, of fewer than
-    ``MIN_TOKENS`` tokens or without words is in band: nothing speaks against it.
+    ``language`` is a Column or None. A text of fewer than ``MIN_TOKENS`` tokens or without
+    words is in band: nothing speaks against it. Longer ones without any letter are not,
+    whatever their language is said to be. A script that ``bands`` lacks accepts all.
     """
     bands = BANDS if bands is None else bands
     language = F.lit(None).cast("string") if language is None else language
-    key = F.when(language.isin([*bands]), language).otherwise(F.col(f"{found}.script"))
+    script = F.col(f"{found}.script")
+    key = F.when(language.isin([*bands]) & script.isNotNull(), language).otherwise(script)
     inside = F.lit(True)
     for name, band in bands.items():
         own = F.lit(True)
@@ -307,4 +320,4 @@ def in_band(
             low, high = getattr(band, measure)
             own = own & F.col(f"{found}.{measure}").between(low, high)
         inside = F.when(key.eqNullSafe(name), own).otherwise(inside)
-    return F.when(F.col(f"{found}.n_tokens") < MIN_TOKENS, True).otherwise(F.coalesce(inside, F.lit(True)))
+    return F.when(F.col(f"{found}.n_tokens") < MIN_TOKENS, True).otherwise(script.isNotNull() & F.coalesce(inside, F.lit(True)))
