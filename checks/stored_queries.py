@@ -45,6 +45,7 @@ from vacanta.sources.readers import (
     rejected_records,
 )
 from vacanta.sources.writers import as_json, write_csv
+from vacanta.streaming.first_sightings import first_sightings, keep_first_sightings
 from vacanta.streaming.ingest import ingest
 from vacanta.streaming.live_counts import (
     keep_counts,
@@ -230,12 +231,12 @@ def _(spark, folder):
     )
 
 
-def _deliveries(spark: SparkSession, rows: DataFrame, by) -> DataFrame:
-    """The rows as a stream of three files, each its own micro-batch, the latest week first."""
+def _deliver(spark: SparkSession, rows: DataFrame, by, run) -> None:
+    """Three deliveries, the latest first; ``run`` takes the stream on after each."""
     path = scratch_path(spark, "deliveries")
     for number in (2, 0, 1):
-        rows.filter(by == number).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.filter(by == number).write.mode("append").parquet(path)
+        run(spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
 
 
 @query("stream_skill_counts", f"{S.WITH_SKILLS}, {_trend_sql('week')} SELECT * FROM trend")
@@ -248,8 +249,8 @@ def _(spark, folder):
         rows.withColumn("collected_at", later).withColumn("again", F.lit(True))
     )
     turn = F.when(F.col("again"), 2).otherwise(F.pmod(F.xxhash64("id"), F.lit(2)))
-    stream = _deliveries(spark, both, turn).drop("again")
-    keep_counts(stream, weekly_mentions, store, scratch_path(spark, "stream-log")).awaitTermination()
+    log = scratch_path(spark, "stream-log")
+    _deliver(spark, both, turn, lambda stream: keep_counts(stream.drop("again"), weekly_mentions, store, log))
     return latest_counts(spark, store, ["period", "skill"]).withColumnRenamed("count", "mentions")
 
 
@@ -265,12 +266,61 @@ def _(spark, folder):
         F.pmod(F.dayofyear("ts"), F.lit(3)).alias("turn"),
     )
     store = scratch_path(spark, "stream-counts")
-    stream = _deliveries(spark, rows, F.col("turn")).drop("turn")
-    counting = partial(weekly_postings, date="collected_at")
-    keep_counts(stream, counting, store, scratch_path(spark, "stream-log")).awaitTermination()
+    log, counting = scratch_path(spark, "stream-log"), partial(weekly_postings, date="collected_at")
+    _deliver(spark, rows, F.col("turn"), lambda stream: keep_counts(stream.drop("turn"), counting, store, log))
     return latest_counts(spark, store, ["period"])
 
 
+@query(
+    "stream_first_seen",
+    """WITH e AS (SELECT CASE WHEN event_id % 5 > 0 THEN CAST(user_id AS VARCHAR) END AS id, event_id, event_type, ts FROM events)
+    SELECT id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen FROM e
+    QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id) = 1""",
+)
+def _(spark, folder):
+    """The first event of each user, and all without a user, from three deliveries out of order."""
+    rows = table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 5 > 0, F.col("user_id").cast("string")).alias("id"),
+        F.col("ts").cast("timestamp").alias("collected_at"),
+        "event_id",
+        "event_type",
+    )
+    store, log = scratch_path(spark, "stream-first"), scratch_path(spark, "stream-log")
+    _deliver(
+        spark,
+        rows,
+        F.pmod("event_id", F.lit(3)),
+        lambda stream: keep_first_sightings(stream, store, log, tie=F.col("event_id")),
+    )
+    return first_sightings(spark, store, rows.schema).select(
+        "id", "event_id", "event_type", F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss").alias("seen")
+    )
+
+
+@query(
+    "two_compactions",
+    f"""{_SEEN} SELECT CASE WHEN o.nr % 3 > 0 THEN id END AS id, company FROM (SELECT *, CAST(id AS BIGINT) AS nr FROM raw) o
+    UNION ALL SELECT NULL, company FROM again WHERE CAST(id AS BIGINT) % 3 = 0""",
+)
+def _(spark, folder):
+    """Two compactions at a time of a store with rows without id: none is lost, none doubled."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = scratch_path(spark, "store")
+
+    def some(rows: DataFrame, later: bool) -> DataFrame:
+        number = F.col("id").cast("bigint")
+        moved = F.lit("2999-01-01T08:00:00Z") if later else F.col("collected_at")
+        return rows.select(F.when(number % 3 > 0, F.col("id")).alias("id"), "company", moved.alias("collected_at"))
+
+    first, again = some(raw_postings(spark, folder), False), some(seen_again(spark, folder), True)
+    for rows in (first, again):
+        refresh.write_batch(rows, store)
+    with ThreadPoolExecutor(2) as threads:
+        list(threads.map(lambda _: refresh.compact(spark, store, first.schema), range(2)))
+    return refresh.current(spark, store, first.schema).select("id", "company")
+
+
 # --- model ---------------------------------------------------------------------------------
 
 

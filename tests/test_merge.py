@@ -27,6 +27,7 @@ from vacanta.sources.readers import (
 )
 from vacanta.sources.schema import require_columns
 from vacanta.sources.writers import as_json, write_csv
+from vacanta.streaming.first_sightings import first_sightings, keep_first_sightings
 from vacanta.streaming.ingest import ingest
 from vacanta.streaming.live_counts import keep_counts, latest_counts, weekly_mentions
 
@@ -149,7 +150,7 @@ def test_report_over_the_store_reads_few_columns_once(spark, raw, store):
     plan = value_counts(store_jobs.current(spark, store), "company")
     text = plan._jdf.queryExecution().executedPlan().toString()
     (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)
-    assert {x.split(":")[0] for x in schema.split(",")} == {"id", "company", "collected_at"}
+    assert {x.split(":")[0] for x in schema.split(",")} == {"id", "company", "collected_at", commits.ORDER, commits.BATCH}
 
 
 def test_empty_store(spark):
@@ -181,6 +182,104 @@ def test_live_counts_are_exact(spark, tmp_path):
     assert again[("2026-08-17", "AWS")] == 1 and again[("2026-08-03", "SQL")] == 1
 
 
+def test_restart_keeps_the_state_and_reads_nothing_stored(spark, tmp_path):
+    """A stopped stream goes on where it was; a micro-batch opens its own rows only."""
+    folder = str(tmp_path)
+    kind = "id string, collected_at string, n int, tags array<string>, at timestamp"
+    turns = [
+        [("a", "2026-05-02", 1, ["x"]), ("b", "2026-05-02", 2, None), (None, "2026-05-02", 3, []), (None, "2026-05-02", 3, [])],
+        [("a", "2026-05-01", 4, ["y", "z"]), ("b", "2026-05-03", 5, None), ("c", "no date", 6, None)],
+        [("c", "2026-05-09", 7, None), ("a", None, 8, None), (None, None, 9, None)],
+    ]
+    import datetime
+
+    at = datetime.datetime(2026, 1, 2, 3, 4, 5, 678901)
+    read = []
+    for rows in turns:
+        spark.createDataFrame([(*r, at) for r in rows], kind).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(kind).parquet(f"{folder}/in")
+        query = keep_first_sightings(stream, f"{folder}/store", f"{folder}/log", tie=F.col("n"))
+        query.awaitTermination()
+        read += [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(read) == sum(map(len, turns))
+    schema = spark.createDataFrame([], kind).schema
+    got = first_sightings(spark, f"{folder}/store", schema).collect()
+    assert sorted((r.id or "", r.n) for r in got) == [("", 3), ("", 3), ("", 9), ("a", 4), ("b", 2), ("c", 7)]
+    assert {r.at for r in got} == {at} and [r.tags for r in got if r.id == "a"] == [["y", "z"]]
+    # A new checkpoint begins with what is stored: files delivered again change no id.
+    keep_first_sightings(stream, f"{folder}/store", f"{folder}/other", tie=F.col("n")).awaitTermination()
+    again = first_sightings(spark, f"{folder}/store", schema).filter("id is not null").collect()
+    assert sorted((r.id, r.n) for r in again) == [("a", 4), ("b", 2), ("c", 7)]
+
+
+def test_hot_id_moves_one_row_per_batch(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("id"),
+        F.timestamp_seconds(F.col("id")).alias("collected_at"),
+    )
+    rows.write.parquet(f"{folder}/in")
+    query = keep_first_sightings(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), f"{folder}/store", f"{folder}/log")
+    query.awaitTermination()
+    got = {r.id: r.collected_at.timestamp() for r in first_sightings(spark, f"{folder}/store", rows.schema).collect()}
+    assert got["hot"] == 0 and len(got) == 51
+    plan = query._jsq.explainInternal(False)
+    assert plan.index("TransformWithState") < plan.index("Exchange hashpartitioning") < plan.index("MapInPandas")
+
+
+def overlapping(spark, raw, store):
+    """Two compactions that listed the store before either of them committed."""
+    for n in range(3):
+        store_jobs.refresh(raw(raw_row(None, company=f"c{n}")), store)
+    plans = [commits.committed(spark, store)[:3], commits.committed(spark, store)[1:]]
+    for n, batches in enumerate(plans):
+        rows = store_jobs.sightings(spark, store, batches=batches)
+        commits.commit(rows, store, f"compact-{n}", replaces=tuple(b.name for b in batches))
+
+
+def test_overlapping_compactions_count_rows_once(spark, raw, store):
+    overlapping(spark, raw, store)
+    assert [b.name for b in commits.committed(spark, store)][-1] == "compact-0"
+    assert sorted(r.company for r in store_jobs.current(spark, store).filter("id is null").collect()) == ["c0", "c1", "c2"]
+    assert commits.vacuum(spark, store) == []  # too fresh
+    gone = commits.vacuum(spark, store, hours=0)
+    assert "compact-1" in gone and len(gone) == 4
+    assert store_jobs.current(spark, store).count() == 4
+    assert store_jobs.compact(spark, store) and len(commits.committed(spark, store)) == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compacted_store_is_read_without_a_shuffle(spark, raw, store):
+    for n in range(3):
+        store_jobs.refresh(raw(*(raw_row(f"{n}-{i}") for i in range(12)), raw_row(None)), store)
+    assert store_jobs.compact(spark, store)
+    plan = plan_of(store_jobs.current(spark, store).filter("region = 'Yorkshire'").select("id", "company"))
+    assert "Exchange" not in plan and "Window" not in plan
+    # Beside it, only rows of the ids that came since are shuffled.
+    early = raw_row("1-3", collected_at="2025-01-01T00:00:00Z", company="Earlier")
+    store_jobs.refresh(raw(early, raw_row("new"), raw_row(None)), store)
+    rows = store_jobs.current(spark, store)
+    plan = plan_of(rows.select("id", "company"))
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan
+    got = rows.collect()
+    assert len(got) == 42 and {r.company for r in got if r.id == "1-3"} == {"Earlier"}
+    assert sum(r.id is None for r in got) == 4
+
+
+def test_streams_compact_a_store_of_many_batches(spark, tmp_path):
+    inbox, store, log = (str(tmp_path / n) for n in ("in", "store", "log"))
+    for n in range(4):
+        folder = tmp_path / "in" / "query=a"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{n}.json").write_text(json.dumps({"id": str(n % 3), "title": "Data Analyst", "description": "SQL"}))
+        ingest(read_searches(spark, inbox, streaming=True), store, log, most_batches=2).awaitTermination()
+    assert len(commits.committed(spark, store)) <= 2
+    assert store_jobs.current(spark, store).count() == 3
+
+
 def test_stream_equals_batch(spark, raw, tmp_path):
     """Files delivered over three runs, one posting seen twice: same rows as one batch."""
     inbox, store, log = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "log")

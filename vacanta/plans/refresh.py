@@ -3,8 +3,12 @@
 A store holds committed batches (:mod:`vacanta.sources.commits`). A refresh processes
 and writes only its own rows, under a name of its own; which sighting of an id counts is
 decided when the store is read (:func:`current`), on the id, the time and the batch
-alone, so a report reads only the columns it needs, in one scan. No stored file is ever
-rewritten; :func:`compact` writes the current rows as one batch that replaces the others.
+alone, so a report reads only the columns it needs. No stored file is ever rewritten;
+:func:`compact` writes the current rows as one batch that replaces the others.
+
+A batch holds an id once, so a store of one batch is read as it is. Beside one large batch,
+as compaction leaves it, the ids of the small ones are sent to it: its other rows pass
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -19,6 +23,9 @@ from vacanta.sources import commits
 from vacanta.sources.commits import BATCH, ORDER
 from vacanta.sources.schema import RAW
 
+# So many ids of small batches may be sent to a batch LARGE times as large.
+BROADCAST_IDS, LARGE = 500_000, 4
+
 
 def processed_schema(spark: SparkSession) -> T.StructType:
     """Schema of :func:`process_postings` over raw rows; nothing is executed."""
@@ -40,8 +47,21 @@ def current(spark: SparkSession, store: str, schema: T.StructType | None = None)
 
     A batch holds an id once, so time and batch order all sightings of an id.
     """
-    rows = sightings(spark, store, schema)
-    return first_seen(rows, (ORDER, BATCH), by_content=False).drop(ORDER, BATCH)
+    schema = schema or processed_schema(spark)
+    batches = commits.committed(spark, store)
+    rows = sightings(spark, store, schema, batches)
+    if len(batches) <= 1:
+        return rows.drop(ORDER, BATCH)
+    largest = max(batches, key=lambda b: b.rows)
+    later = [b for b in batches if b != largest]
+    n = sum(b.rows for b in later)
+    if n > BROADCAST_IDS or LARGE * n > largest.rows:
+        return first_seen(rows, (ORDER, BATCH), by_content=False).drop(ORDER, BATCH)
+    some = sightings(spark, store, schema, later)
+    ids = F.broadcast(some.select("id").filter("id IS NOT NULL").distinct())
+    stored = sightings(spark, store, schema, [largest])
+    met = first_seen(some.unionByName(stored.join(ids, "id", "left_semi")), (ORDER, BATCH), by_content=False)
+    return stored.join(ids, "id", "left_anti").select(met.columns).unionByName(met).drop(ORDER, BATCH)
 
 
 def write_batch(rows: DataFrame, store: str, name: str | None = None) -> str:
@@ -74,21 +94,18 @@ def refresh(new_raw: DataFrame, store: str) -> DataFrame:
     return save_new(process_postings(new_raw), store)
 
 
-def compact(spark: SparkSession, store: str, schema: T.StructType | None = None) -> None:
-    """Replace the batches by one batch of the current rows.
+def compact(spark: SparkSession, store: str, schema: T.StructType | None = None) -> bool:
+    """Replace the batches by one batch of the current rows; whether it counts.
 
-    It takes the order of the first batch it replaces, so ties with later batches are
-    decided as before. Batches committed meanwhile stay. Readers see the old batches or
-    the new one, never both; files of replaced batches may be deleted once no reader
-    that listed them is left.
+    Rows keep the order of the batch they came with, so ties with later batches are decided
+    as before. Batches committed meanwhile stay. Readers see the old batches or the new one,
+    never both. Of two compactions that overlap only one counts. ``commits.vacuum`` frees
+    what is replaced.
     """
     batches = commits.committed(spark, store)
-    if len(batches) > 1:
-        rows = first_seen(sightings(spark, store, schema, batches), (ORDER, BATCH), by_content=False)
-        commits.commit(
-            rows.drop(ORDER, BATCH),
-            store,
-            commits.new_name(),
-            order=batches[0].order,
-            replaces=tuple(b.name for b in batches),
-        )
+    if len(batches) <= 1:
+        return False
+    rows = first_seen(sightings(spark, store, schema, batches), (ORDER, BATCH), by_content=False)
+    name = commits.new_name()
+    commits.commit(rows, store, name, replaces=tuple(b.name for b in batches))
+    return any(b.name == name for b in commits.committed(spark, store))

@@ -10,6 +10,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Streams keep one value per id; only this store of Spark's holds such values.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
+
+
+def use_value_state(spark: SparkSession) -> SparkSession:
+    """Streams started from now on keep their state in RocksDB, unless the session names a store."""
+    for name, value in STATE_STORE.items():
+        if spark.conf.get(name, None) is None or "HDFSBacked" in spark.conf.get(name):
+            spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vacanta", memory: str = "8g"):
     """A single-machine session for tests and benchmarks."""
     return (

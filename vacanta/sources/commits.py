@@ -1,10 +1,15 @@
 """Committed batches in a folder: what a writer finished is seen whole, or not at all.
 
-``rows/<name>/`` holds the Parquet files of a batch and ``commits/<order>_<name>`` an
-empty file that is created when they are complete. Readers list the commits and open
-only those batches. Names never collide: a writer brings its own id, so nobody
-overwrites what someone else stored, and two writers need no lock. A batch that
-replaces others lists their names in its commit file.
+``rows/<name>/`` holds the Parquet files of a batch, each row with the order and the name
+of the batch it came with; ``commits/<order>_<rows>_<name>`` is created when they are
+complete. Readers list the commits and open only those batches. Names never collide: a
+writer brings its own id, so nobody overwrites what someone else stored, and two writers
+need no lock.
+
+A batch that replaces others lists their names in its commit file. Of two that replace
+the same batch the one of earlier order counts, and the other is lost: readers take no row
+of it, and what only it replaced is read as before. So every row is read once, whatever
+writers do at the same time; a lost batch only cost its own work.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ class Batch:
 
     order: int
     name: str
+    rows: int = 0
     replaces: tuple[str, ...] = ()
 
 
@@ -54,8 +60,7 @@ def _text(spark: SparkSession, path) -> str:
         stream.close()
 
 
-def committed(spark: SparkSession, store: str) -> list[Batch]:
-    """Valid batches, earliest first. Only folder entries and lists of names are read."""
+def _listed(spark: SparkSession, store: str) -> list[Batch]:
     files, folder = _files(spark, f"{store}/commits")
     if not files.exists(folder):
         return []
@@ -63,11 +68,28 @@ def committed(spark: SparkSession, store: str) -> list[Batch]:
     for entry in files.listStatus(folder):
         name = entry.getPath().getName()
         if not name.startswith(("_", ".")):
-            order, _, batch = name.partition("_")
+            order, rows, batch = name.split("_", 2)
             names = _text(spark, entry.getPath()).split() if entry.getLen() else []
-            found.append(Batch(int(order), batch, tuple(names)))
-    gone = {name for batch in found for name in batch.replaces}
-    return sorted(b for b in found if b.name not in gone)
+            found.append(Batch(int(order), batch, int(rows), tuple(names)))
+    return sorted(found)
+
+
+def _passed(batches: list[Batch]) -> set[str]:
+    """Names of the batches that are replaced, and of those that lost to another one."""
+    replaced, lost = set(), set()
+    for batch in batches:
+        if any(name in replaced or name in lost for name in batch.replaces):
+            lost.add(batch.name)
+        else:
+            replaced.update(batch.replaces)
+    return replaced | lost
+
+
+def committed(spark: SparkSession, store: str) -> list[Batch]:
+    """Valid batches, earliest first. Only folder entries and lists of names are read."""
+    batches = _listed(spark, store)
+    passed = _passed(batches)
+    return [b for b in batches if b.name not in passed]
 
 
 def new_name() -> str:
@@ -83,16 +105,20 @@ def commit(
 ) -> None:
     """Store rows as batch ``name``. Does nothing if that batch is committed already.
 
-    A try that died left no commit; its files are replaced.
+    Rows that have an order and a batch keep them. A try that died left no commit; its
+    files are replaced.
     """
     spark = rows.sparkSession
-    if any(name == batch.name for batch in committed(spark, store)):
+    if any(name == batch.name for batch in _listed(spark, store)):
         return
-    rows.write.mode("overwrite").parquet(f"{store}/rows/{name}")
     order = time.time_ns() if order is None else order
+    marks = {n: v for n, v in ((ORDER, F.lit(order)), (BATCH, F.lit(name))) if n not in rows.columns}
+    path = f"{store}/rows/{name}"
+    rows.withColumns(marks).write.mode("overwrite").parquet(path)
+    n = spark.read.parquet(path).count()  # from the files' footers
     files, folder = _files(spark, f"{store}/commits")
     files.mkdirs(folder)
-    _create(spark, f"{store}/commits/{order:020d}_{name}", "\n".join(replaces))
+    _create(spark, f"{store}/commits/{order:020d}_{n}_{name}", "\n".join(replaces))
 
 
 def read(
@@ -105,11 +131,28 @@ def read(
     )
     if not batches:
         return spark.createDataFrame([], full)
-    paths = [f"{store}/rows/{b.name}" for b in batches]
-    stored = spark.read.schema(schema).parquet(*paths)
-    order = F.create_map(*[F.lit(x) for b in batches for x in (b.name, b.order)])
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"/rows/([^/]+)/[^/]+$", 1)
-    return stored.withColumn(BATCH, name).withColumn(ORDER, order[F.col(BATCH)]).select(full.fieldNames())
+    return spark.read.schema(full).parquet(*(f"{store}/rows/{b.name}" for b in batches))
+
+
+def vacuum(spark: SparkSession, store: str, hours: float = 24.0) -> list[str]:
+    """Delete replaced and lost batches whose successor is older than ``hours``; their names.
+
+    The time is for readers that listed them before, and for writers that are still about to
+    replace some of the same batches.
+    """
+    batches = _listed(spark, store)
+    passed, limit = _passed(batches), time.time_ns() - int(hours * 3.6e12)
+    by = {name: b.order for b in reversed(batches) if b.name not in passed for name in b.replaces}
+    # A batch that a passed one replaced goes with it.
+    for batch in reversed(batches):
+        if batch.name in by:
+            by |= {name: by[batch.name] for name in batch.replaces if name not in by}
+    gone = [b for b in batches if b.name in passed and by.get(b.name, b.order) < limit]
+    for batch in gone:
+        for path in (f"commits/{batch.order:020d}_{batch.rows}_{batch.name}", f"rows/{batch.name}"):
+            files, target = _files(spark, f"{store}/{path}")
+            files.delete(target, True)
+    return [b.name for b in gone]
 
 
 def writer_id(spark: SparkSession, checkpoint: str) -> str:

@@ -1,9 +1,10 @@
 """Weekly skill mentions and postings, kept up to date while postings arrive.
 
-Counts are of first sightings, as in the batch trend, however late a row comes: each
-micro-batch stores its sightings and the differences they make to the counts. A posting
-whose earlier sighting arrives afterwards takes its mentions out of one week and into
-another. Nothing is dropped for being late, and rows without an id count one by one.
+Counts are of first sightings, as in the batch trend, however late a row comes. The stream
+keeps the first sighting of each id in its state and tells what changes; a posting whose
+earlier sighting arrives afterwards takes its mentions out of one week and into another.
+Nothing is dropped for being late, rows without an id count one by one, and a micro-batch
+reads nothing but its own rows and the state of their ids.
 """
 
 from __future__ import annotations
@@ -16,42 +17,36 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vacanta.functions.values import bucket_start, iso_date, timestamp_column
-from vacanta.operators.dedupe import first_seen
 from vacanta.sources import commits
-from vacanta.sources.commits import BATCH, ORDER
+from vacanta.streaming.first_sightings import keep_first_sightings
 
-Counting = Callable[[DataFrame], DataFrame]
+Counting = Callable[..., DataFrame]
 
 
 def _week(df: DataFrame, date: str) -> Column:
     return iso_date(bucket_start(timestamp_column(df, date), "W"))
 
 
-def weekly_mentions(postings: DataFrame, date: str = "collected_at") -> DataFrame:
-    """``(period, skill, count)``; unreadable dates and empty lists give no rows."""
-    return (
-        postings.select(_week(postings, date).alias("period"), F.explode("skills").alias("skill"))
-        .filter(F.col("period").isNotNull() & F.col("skill").isNotNull())
-        .groupBy("period", "skill")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+def _counted(rows: DataFrame, keys: list[str], weight: str | None) -> DataFrame:
+    number = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return rows.groupBy(*keys).agg(number.alias("count"))
 
 
-def weekly_postings(postings: DataFrame, date: str = "created") -> DataFrame:
-    """``(period, count)``; unreadable dates give no rows."""
-    return (
-        postings.select(_week(postings, date).alias("period"))
-        .filter(F.col("period").isNotNull())
-        .groupBy("period")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+def weekly_mentions(postings: DataFrame, date: str = "collected_at", weight: str | None = None) -> DataFrame:
+    """``(period, skill, count)``; unreadable dates and empty lists give no rows.
+
+    Rows count once, or as often as the column ``weight`` says.
+    """
+    rows = postings.select(
+        _week(postings, date).alias("period"), F.explode("skills").alias("skill"), *([weight] if weight else [])
+    ).filter(F.col("period").isNotNull() & F.col("skill").isNotNull())
+    return _counted(rows, ["period", "skill"], weight)
 
 
-def _change(before: DataFrame, after: DataFrame, counting: Counting) -> DataFrame:
-    """What the counts change by, zero changes left out."""
-    new, old = counting(after), counting(before).withColumn("count", -F.col("count"))
-    keys = [c for c in new.columns if c != "count"]
-    return new.unionByName(old).groupBy(*keys).agg(F.sum("count").alias("count")).filter("count <> 0")
+def weekly_postings(postings: DataFrame, date: str = "created", weight: str | None = None) -> DataFrame:
+    """``(period, count)``; unreadable dates give no rows. ``weight`` as above."""
+    rows = postings.select(_week(postings, date).alias("period"), *([weight] if weight else []))
+    return _counted(rows.filter(F.col("period").isNotNull()), ["period"], weight)
 
 
 def keep_counts(
@@ -60,31 +55,15 @@ def keep_counts(
     """Start a query that counts what is available and then ends.
 
     ``postings`` is a stream with ``id`` and ``collected_at`` beside what ``counting``
-    needs. ``store`` holds the sightings and, below ``counts``, the changes; one query at
-    a time writes it. A micro-batch reads of the stored sightings only the rows of its
-    own ids. Run again, it finds its commits and changes nothing.
+    needs. ``store`` holds the changes to the first sightings and, below ``counts``, those
+    to the counts; one query at a time writes it. Run again, a micro-batch finds its
+    commits and changes nothing. A new checkpoint takes its state from the store.
     """
-    spark = postings.sparkSession
-    writer = commits.writer_id(spark, checkpoint)
-
-    def count_batch(rows: DataFrame, number: int) -> None:
-        name = f"{writer}-{number:012d}"
-        earlier = [b for b in commits.committed(spark, store) if b.name != name]
-        commits.commit(first_seen(rows), store, name)
-        fresh = commits.read(spark, store, rows.schema, [b for b in commits.committed(spark, store) if b.name == name])
-        known = commits.read(spark, store, rows.schema, earlier).join(
-            fresh.select("id").distinct(), "id", "left_semi"
-        )
-        before = first_seen(known, (ORDER, BATCH), by_content=False)
-        after = first_seen(known.unionByName(fresh), (ORDER, BATCH), by_content=False)
-        commits.commit(_change(before, after, counting), f"{store}/counts", name)
-
-    return (
-        postings.writeStream.foreachBatch(count_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def count(changes: DataFrame, name: str) -> None:
+        commits.commit(counting(changes, weight="change").filter("count <> 0"), f"{store}/counts", name)
+
+    return keep_first_sightings(postings, store, checkpoint, after=count)
 
 
 def latest_counts(spark: SparkSession, store: str, keys: list[str]) -> DataFrame:
