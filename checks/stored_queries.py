@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import model_sql
 from checks import sql as S
 from checks.postings import (
     RAW_SQL,
@@ -30,13 +31,15 @@ from checks.queries import (
     processed,
     query,
 )
+from vacanta.fixed_values import INTERVAL_LOG_SPREAD
 from vacanta.functions.skills import count_columns
 from vacanta.functions.values import timestamp_column
 from vacanta.operators.counts import value_counts
 from vacanta.operators.features import feature_table, fill_features, fold_of, is_holdout
 from vacanta.operators.metrics import regression_metrics
 from vacanta.operators.processing import process_postings
-from vacanta.plans import refresh, scoring, training
+from vacanta.plans import boosted_trees, model_choice, refresh, scoring, training
+from vacanta.plans.linear_models import Sums
 from vacanta.session import scratch_path, use_utc
 from vacanta.sources.readers import (
     read_processed_csv,
@@ -419,10 +422,10 @@ def _(spark, folder):
 
 @query("salary_model_scores")
 def _(spark, folder):
-    """Every posting taken as a request and priced by a stored model."""
+    """Every posting taken as a request and priced by the model that a comparison chose and stored."""
     rows = _stored(spark, folder)
     path = scratch_path(spark, "model")
-    training.save(training.train(rows, {"ridge": training.ridge}, folds=0), path)
+    training.save(training.train(rows, _LINEAR), path)
     # Missing labels are named, as a request has to name them.
     requests = fill_features(rows).select(
         "id", "role_category", "seniority", "region", "contract_type", "contract_time", "skills",
@@ -457,10 +460,123 @@ def _(spark, folder):
 
 @query("predicted_versus_actual")
 def _(spark, folder):
-    """Pairs in pounds of the held-out rows."""
+    """Pairs in pounds of the held-out rows, by the chosen model."""
     from vacanta.operators.metrics import actual_and_predicted
 
-    done = training.train(_stored(spark, folder), {"ridge": training.ridge}, folds=0)
+    done = training.train(_stored(spark, folder), _LINEAR)
     pairs = actual_and_predicted(done.holdout_predictions)
     return pairs.select(*[F.round(n, 0).alias(n) for n in pairs.columns])
 
+
+# --- model choice ----------------------------------------------------------------------
+
+_ONE_OF_EACH = model_choice.Features(labels=("role_category",), numbers=("description_length",))
+_TREES = {"rounds": 3, "depth": 2, "rate": 0.3}
+
+
+def _parted(spark: SparkSession, folder: str, features: model_choice.Features) -> tuple[DataFrame, int]:
+    return model_choice.parted(feature_table(_stored(spark, folder), ("id",)), features, spare=training.SPARE)
+
+
+def _predicted(spark: SparkSession, folder: str) -> DataFrame:
+    """The written long table of both linear candidates and boosted trees, over all folds."""
+    rows, folds = _parted(spark, folder, _ONE_OF_EACH)
+    candidates = (
+        model_choice.linear_candidates({"linear_regression": 0.0, "ridge": 1.0}),
+        model_choice.boosted_candidate(**_TREES),
+    )
+    long, _ = model_choice.predicted(rows, folds, _ONE_OF_EACH, candidates)
+    path = scratch_path(spark, "model-predictions")
+    long.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+_BOTH = f"""{model_sql.boosted(['role_category'], ['description_length'], 3, 2, 0.3, before=model_sql.LINEAR)},
+predictions AS (SELECT * FROM linear UNION ALL SELECT * FROM boosted), {model_sql.scores('predictions')},
+compared AS (
+  SELECT model, avg(r2) FILTER (k >= 0) AS cv_r2_mean, stddev_pop(r2) FILTER (k >= 0) AS cv_r2_std, any_value(r2) FILTER (k = -1) AS r2
+  FROM fits GROUP BY 1),
+held AS (
+  SELECT model, avg(abs(exp(p) - exp(y))) AS mae_gbp, sqrt(avg((exp(p) - exp(y)) ^ 2)) AS rmse_gbp, avg(abs(p - y)) AS mae_log
+  FROM predictions WHERE k = -1 GROUP BY 1),
+best AS (SELECT model FROM compared ORDER BY r2 DESC, model LIMIT 1)"""
+_COMPARED = f"""SELECT model, {S.half_even('cv_r2_mean', 5)} AS cv_r2_mean, {S.half_even('cv_r2_std', 5)} AS cv_r2_std,
+  {S.half_even('mae_gbp', 1)} AS mae_gbp, {S.half_even('rmse_gbp', 1)} AS rmse_gbp, {S.half_even('r2', 5)} AS r2, {S.half_even('mae_log', 5)} AS mae_log
+  FROM compared JOIN held USING (model)"""
+
+
+def _rounded(compared: DataFrame) -> DataFrame:
+    digits = {"mae_gbp": 1, "rmse_gbp": 1}
+    return compared.select("model", *(F.bround(c, digits.get(c, 5)).alias(c) for c in compared.columns if c != "model"))
+
+
+@query(
+    "cv_linear",
+    f"""{model_sql.LINEAR}, {model_sql.scores('linear')}
+    SELECT model, CAST(k AS INT) AS fold, {S.half_even('r2', 6)} AS r2 FROM fits WHERE k >= 0""",
+)
+def _(spark, folder):
+    """Scores of all folds of both linear candidates from one table of sums."""
+    rows, folds = _parted(spark, folder, _ONE_OF_EACH)
+    f = _ONE_OF_EACH
+    sums = Sums.of(rows, F.col("part"), f.labels, f.numbers, f.target)
+    scores = [
+        (name, fold, sums.r2(sums.fit([p for p in range(folds) if p != fold], alpha), [fold]))
+        for name, alpha in (("linear_regression", 0.0), ("ridge", 1.0))
+        for fold in range(folds)
+    ]
+    return spark.createDataFrame(scores, "model string, fold int, r2 double").withColumn("r2", F.bround("r2", 6))
+
+
+@query(
+    "boosted_fit",
+    f"""{model_sql.boosted(['role_category'], ['description_length', 'n_skills_total'], 2, 2, 0.05)}
+    SELECT id, {S.half_even('p', 7)} AS predicted FROM boosted WHERE k = -1""",
+)
+def _(spark, folder):
+    """Held-out rows priced by two trees of two levels."""
+    features = model_choice.Features(labels=("role_category",), numbers=("description_length", "n_skills_total"))
+    rows, _ = _parted(spark, folder, features)
+    model = boosted_trees.fit(
+        rows.filter(F.col("part") >= 0), features.labels, features.numbers, features.target, "id", rounds=2, depth=2
+    )
+    held = rows.filter(F.col("part") == model_choice.HELD_OUT)
+    return held.select("id", F.bround(model.prediction(), 7).alias("predicted"))
+
+
+@query("model_comparison", f"{_BOTH} {_COMPARED}")
+def _(spark, folder):
+    """Fold scores and held-out metrics of three candidates, from the long table."""
+    return _rounded(model_choice.comparison(_predicted(spark, folder)))
+
+
+@query("best_model", f"{_BOTH} {_COMPARED} JOIN best USING (model)")
+def _(spark, folder):
+    return _rounded(model_choice.best_model(model_choice.comparison(_predicted(spark, folder))))
+
+
+@query(
+    "best_model_pairs",
+    f"""{_BOTH} SELECT id AS key, {S.half_even('exp(y)', 1)} AS actual, {S.half_even('exp(p)', 1)} AS predicted
+    FROM predictions JOIN best USING (model) WHERE k = -1""",
+)
+def _(spark, folder):
+    """Actual and predicted pounds of the held-out rows, by the chosen model."""
+    long = _predicted(spark, folder)
+    pairs = model_choice.held_out_pairs(long, model_choice.best_model(model_choice.comparison(long)))
+    return pairs.select("key", F.bround("actual", 1).alias("actual"), F.bround("predicted", 1).alias("predicted"))
+
+
+@query(
+    "best_model_prices",
+    f"""{_BOTH} SELECT id, {S.pounds('exp(p)')} AS predicted_salary, {S.pounds('exp(p - 0.35)')} AS lower_bound,
+      {S.pounds('exp(p + 0.35)')} AS upper_bound FROM predictions JOIN best USING (model) WHERE k = -1""",
+)
+def _(spark, folder):
+    """Held-out postings as requests, priced by the chosen model, with intervals."""
+    long = _predicted(spark, folder)
+    best = model_choice.best_model(model_choice.comparison(long)).select("model")
+    chosen = long.filter("fold IS NULL").join(F.broadcast(best), "model", "left_semi")
+    return model_choice.priced(chosen, F.col("predicted"), INTERVAL_LOG_SPREAD).select(
+        F.col("key").alias("id"), *longs("predicted_salary", "lower_bound", "upper_bound")
+    )
