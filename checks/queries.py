@@ -24,7 +24,7 @@ from vacanta.functions.skills import count_columns, ignored, recognised, skills_
 from vacanta.functions.text import clean_description, clean_title, strip_html
 from vacanta.functions.titles import role_category, seniority
 from vacanta.functions.values import iso_date, numeric_column, rounded_pounds, timestamp_column
-from vacanta.operators import counts, demand, salary
+from vacanta.operators import counts, demand, free_quantiles, salary
 from vacanta.operators.dedupe import first_seen, merge_counts, merge_postings, new_ids
 from vacanta.operators.dictionary import (
     dictionary_problems,
@@ -765,3 +765,20 @@ def _(spark, folder):
     pairs = paid.select(F.ln("pay").alias("log_salary"), F.expr(_GUESS).alias("prediction"))
     digits = {"mae_gbp": 2, "rmse_gbp": 2, "r2": 6, "mae_log": 6}
     return regression_metrics(pairs).select(*[F.round(n, d).alias(n) for n, d in digits.items()])
+
+
+_CUBED = """SELECT l_returnflag, l_linestatus, 'price' AS measure, l_extendedprice AS v FROM {lineitem}
+  UNION ALL SELECT l_returnflag, l_linestatus, 'cube', l_extendedprice * l_extendedprice * l_extendedprice / 1000000 FROM {lineitem}"""
+
+
+@query(
+    "quantiles_without_bounds",
+    f"""SELECT l_returnflag, l_linestatus, measure, {S.half_even('quantile_cont(v, 0.25)', 2)} AS q1, {S.half_even('median(v)', 2)} AS middle,
+    {S.half_even('quantile_cont(v, 0.99)', 2)} AS top, count(v) AS count FROM ({_CUBED.format(lineitem='lineitem')}) GROUP BY 1, 2, 3""",
+)
+def _(spark, folder):
+    """Quantiles of prices and of their cubes, which lie orders of magnitude apart."""
+    rows = spark.sql(_CUBED, lineitem=table(spark, folder, "lineitem"))
+    keys = ["l_returnflag", "l_linestatus", "measure"]
+    found = free_quantiles.quantiles(rows, keys, "v", {"q1": 0.25, "middle": 0.5, "top": 0.99})
+    return found.select(*keys, *(F.bround(c, 2).alias(c) for c in ("q1", "middle", "top")), "count")

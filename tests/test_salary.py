@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from vacanta.operators.counts import overview_totals, period_counts, top_locations, value_counts, value_counts_of
 from vacanta.operators.filters import SALARY_BOUNDS, plausible_salary
 from vacanta.operators.processing import add_salary_midpoint
+from vacanta.operators import free_quantiles
 from vacanta.operators.quantiles import box_plots, medians
 from vacanta.operators.salary import (
     pay_by_skill,
@@ -165,3 +166,30 @@ def test_absent_columns_give_empty_reports(spark):
     df = spark.createDataFrame([(20_000.0,)], "salary_midpoint double")
     assert salary_distribution(df, "region").count() == 0
     assert pay_by_skill(df).count() == 0
+
+
+@pytest.mark.parametrize("rounds", [6, 0])
+def test_quantiles_without_bounds(spark, monkeypatch, rounds):
+    """Orders of magnitude, many copies of few values, null groups, and values that are none."""
+    monkeypatch.setattr(free_quantiles, "ROUNDS", rounds)
+    rng = np.random.default_rng(7)
+    groups = {
+        "wide": np.exp(rng.normal(0, 30, 60_000)) * rng.choice([-1, 1], 60_000),
+        "copies": np.concatenate([np.full(40_000, 1.5), np.full(40_000, 2.5), rng.normal(3, 1, 30_000)]),
+        None: rng.normal(1e9, 1e-3, 500),
+        "one": np.array([4.0]),
+        "two": np.array([4.0, 5.0]),
+    }
+    parts = [pd.DataFrame({"g": k, "v": v}) for k, v in groups.items()]
+    parts.append(pd.DataFrame({"g": ["wide", "wide", "none", "one"], "v": [np.inf, -np.inf, np.nan, None]}))
+    df = spark.createDataFrame(pd.concat(parts).astype({"g": object}).where(lambda x: x.notna(), None), "g string, v double")
+    wanted = {"low": 0.0, "q1": 0.25, "middle": 0.5, "rare": 0.999, "high": 1.0}
+    got = {r.g: r for r in free_quantiles.quantiles(df, ["g"], "v", wanted).collect()}
+    assert got.keys() == groups.keys()
+    for k, v in groups.items():
+        assert got[k]["count"] == len(v)
+        for name, q in wanted.items():
+            assert got[k][name] == pytest.approx(np.quantile(v, q), rel=1e-12)
+    whole = free_quantiles.quantiles(df.filter("g in ('one', 'two')"), [], "v", {"m": 0.5}).collect()
+    assert [tuple(r) for r in whole] == [(4.0, 3)]
+    assert free_quantiles.quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).collect() == []
