@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from vacanta.functions.skills import count_columns, ignored, recognised, skills_
 from vacanta.functions.text import clean_description, clean_title, strip_html
 from vacanta.functions.titles import role_category, seniority
 from vacanta.functions.values import iso_date, numeric_column, rounded_pounds, timestamp_column
-from vacanta.operators import counts, demand, free_quantiles, salary
+from vacanta.operators import counts, demand, free_quantiles, salary, search_index
 from vacanta.operators.dedupe import first_seen, merge_counts, merge_postings, new_ids
 from vacanta.operators.dictionary import (
     dictionary_problems,
@@ -40,6 +41,7 @@ from vacanta.operators.processing import (
     process_postings,
 )
 from vacanta.operators.recent import newest, recent_postings
+from vacanta.session import scratch_path
 from vacanta.sources.readers import parse_adverts
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -782,3 +784,20 @@ def _(spark, folder):
     keys = ["l_returnflag", "l_linestatus", "measure"]
     found = free_quantiles.quantiles(rows, keys, "v", {"q1": 0.25, "middle": 0.5, "top": 0.99})
     return found.select(*keys, *(F.bround(c, 2).alias(c) for c in ("q1", "middle", "top")), "count")
+
+
+_WORDS = ("power bi", " Customer#00000001 ", "ENGINEER", "united", "qz", "no such words")
+
+
+@query(
+    "search_index",
+    f"""{S.WITH_SKILLS}, texts AS (SELECT id, lower(concat_ws(' ', CASE WHEN title_clean <> '' THEN title_clean ELSE coalesce(title, '') END,
+        coalesce(company, ''), coalesce(location, ''), array_to_string(skills, ' '))) AS t FROM posts)
+    SELECT word, id FROM texts, (SELECT unnest([{', '.join(f"'{w}'" for w in _WORDS)}]) AS word) WHERE contains(t, lower(trim(word)))""",
+)
+def _(spark, folder):
+    """Several searches of one index of trigrams."""
+    path = scratch_path(spark, "search-index")
+    search_index.build(processed(spark, folder).select("id", "title", "title_clean", "company", "location", "skills"), path)
+    found = [search_index.search(spark, path, w).select(F.lit(w).alias("word"), "id") for w in _WORDS]
+    return reduce(DataFrame.unionByName, found)

@@ -48,14 +48,8 @@ def filter_options(df: DataFrame, names: Sequence[str] = tuple(FILTER_COLUMNS))
     return df.select(F.inline(pairs)).filter(~is_blank(F.col("value"))).distinct()
 
 
-def search(df: DataFrame, query: str) -> DataFrame:
-    """Rows whose title, company, location or skills contain ``query``, in any case.
-
-    A blank query keeps all rows.
-    """
-    wanted = query.strip().lower()
-    if not wanted:
-        return df
+def searched_text(df: DataFrame) -> Column:
+    """What a search looks through: title, company, location and skills, in lower case."""
     titles = F.coalesce(
         F.nullif(text_column(df, "title_clean"), F.lit("")), text_column(df, "title"), F.lit("")
     )
@@ -66,7 +60,17 @@ def search(df: DataFrame, query: str) -> DataFrame:
     ]
     if "skills" in df.columns:
         texts.append(F.array_join("skills", " "))
-    return df.filter(F.lower(F.concat_ws(" ", *texts)).contains(wanted))
+    return F.lower(F.concat_ws(" ", *texts))
+
+
+def search(df: DataFrame, query: str) -> DataFrame:
+    """Rows whose title, company, location or skills contain ``query``, in any case.
+
+    A blank query keeps all rows. Every row is looked at; many searches of one table are
+    better asked of an index (:mod:`vacanta.operators.search_index`).
+    """
+    wanted = query.strip().lower()
+    return df.filter(searched_text(df).contains(wanted)) if wanted else df
 
 
 def plausible(salary: Column) -> Column:
