@@ -15,7 +15,7 @@ from checks import sql as S
 from checks.postings import table
 from checks.queries import _DEMAND, _trend_sql, processed, query
 from vacanta.functions.skills import skills_in
-from vacanta.operators import demand, salary
+from vacanta.operators import demand, overview_cells, salary
 from vacanta.operators.quantiles import box_plots
 from vacanta.plans import reports
 from vacanta.session import scratch_path
@@ -282,3 +282,22 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return salary.pay_by_skill(tagged_documents(spark, folder))
+
+
+_CHOSEN = {"region": ["EUROPE", "ASIA"], "seniority": ["Senior", "Lead / Manager", "Mid-level"], "contract_type": ["contract"]}
+_CHOSEN_SQL = " AND ".join(f"{c} IN ({', '.join(f"'{v}'" for v in values)})" for c, values in _CHOSEN.items())
+
+
+def _totals_sql(kind: str, rows: str) -> str:
+    return f"""SELECT '{kind}' AS rows_of, count(*) AS postings, count(DISTINCT company) AS companies,
+      count(DISTINCT location) AS locations, {S.half_even('count(pay) / count(*)', 4)} AS salary_coverage,
+      {S.pounds('median(pay)')} AS median_salary FROM paid WHERE {rows}"""
+
+
+@query("overview_from_cells", f"{S.WITH_PAY} {_totals_sql('all', 'true')} UNION ALL {_totals_sql('chosen', _CHOSEN_SQL)}")
+def _(spark, folder):
+    """Headline totals of all postings and of a selection, from one table of cells."""
+    path = scratch_path(spark, "overview-cells")
+    overview_cells.build(processed(spark, folder), path)
+    every = overview_cells.totals(spark, path, {}).withColumn("rows_of", F.lit("all"))
+    return every.unionByName(overview_cells.totals(spark, path, _CHOSEN).withColumn("rows_of", F.lit("chosen")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vacanta.operators.counts import overview_totals, period_counts, top_locations, value_counts, value_counts_of
 from vacanta.operators.filters import SALARY_BOUNDS, plausible_salary
 from vacanta.operators.processing import add_salary_midpoint
-from vacanta.operators import free_quantiles
+from vacanta.operators import free_quantiles, overview_cells
 from vacanta.operators.quantiles import box_plots, medians
 from vacanta.operators.salary import (
     pay_by_skill,
@@ -193,3 +193,26 @@ def test_quantiles_without_bounds(spark, monkeypatch, rounds):
     whole = free_quantiles.quantiles(df.filter("g in ('one', 'two')"), [], "v", {"m": 0.5}).collect()
     assert [tuple(r) for r in whole] == [(4.0, 3)]
     assert free_quantiles.quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).collect() == []
+
+
+def test_cells_give_totals_under_any_filter(spark, tmp_path):
+    """Null companies and labels, a common company, and filters that take any cells together."""
+    rng = np.random.default_rng(3)
+    rows = [
+        (
+            *(None if rng.random() < 0.1 else f"{c}{rng.integers(0, 3)}" for c in "rslgt"),
+            None if i % 11 == 0 else "big" if i % 3 == 0 else f"c{rng.integers(0, 200)}",
+            None if i % 7 == 0 else float(rng.integers(5, 300) * 1000),
+        )
+        for i in range(1500)
+    ]
+    names = ["role_category", "seniority", "location", "region", "contract_type"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in [*names, "company"]) + ", salary_midpoint double")
+    path = str(tmp_path / "cells")
+    overview_cells.build(df, path)
+    assert "company" not in spark.read.parquet(f"{path}/cells").columns
+    from vacanta.operators.filters import apply_filters
+
+    for chosen in ({}, {"region": ["g0"]}, {"seniority": ["s0", "s1"], "contract_type": ["t2"]}, {"role_category": ["none"]}):
+        want = overview_totals(apply_filters(df, chosen)).first().asDict()
+        assert overview_cells.totals(spark, path, chosen).first().asDict() == want

@@ -53,6 +53,18 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds)
     )
 
 
+def weighted_counts(df: DataFrame, keys: Sequence[str], value: str, times: str, bounds: Bounds) -> DataFrame:
+    """``value_counts`` of rows that stand for ``times`` rows each."""
+    v = F.col(value)
+    slot, part = _slot_and_part(v, bounds)
+    return (
+        df.filter(v.between(*bounds))
+        .select(*keys, slot.alias("_slot"), part.alias("_part"), v.alias("_value"), F.col(times).alias("_times"))
+        .groupBy(*keys, "_slot", "_part", "_value")
+        .agg(F.sum("_times").alias("_n"))
+    )
+
+
 def slot_profile(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per (keys, slot): rows, rows in lower slots, rows of the group, extremes."""
     slots = counts.groupBy(*keys, "_slot").agg(
