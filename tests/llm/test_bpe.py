@@ -4,9 +4,11 @@ import struct
 
 import public_tokenizers
 import pytest
+import tiktoken
 
+from tests.llm.conftest import SMALL
 from vacanta.llm import bpe
-from vacanta.llm.queries import BYTE_RANKS
+from vacanta.llm.queries import BYTE_RANKS, JOBS
 
 PIECES = ["a", "e", "th", "'", "'s", "'re", "r", "l", " ", "  ", "\n", "\t", "é", "中", "😀", "1", "..", "!", "ing", "\x1c", " "]
 
@@ -53,5 +55,19 @@ def test_rows(build, odd):
         assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_query_equals_the_library(workers):
+    """The registered query over the whole table, against the library's own encoding."""
+    with open(BYTE_RANKS, "rb") as lines:
+        plain = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(lines), special_tokens={})
+    texts = dict(workers.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect())
+    rows = JOBS["op5_monoid_bpe"](workers, SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = plain.encode_ordinary(texts[r.doc_id] or "")
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
 def test_no_rows(build):
     assert bpe.encode_texts(build([]), BYTE_RANKS, public_tokenizers.PATTERN).collect() == []

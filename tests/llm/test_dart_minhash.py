@@ -69,7 +69,7 @@ def test_classes_against_all_pairs(build):
 
 
 def test_large_group_of_noisy_copies(build):
-    """More copies than a bucket compares completely; noise above and below the limit."""
+    """A bucket of many copies with noise above and below the wanted similarity: every link counts."""
     rng = random.Random(4)
     base = prose(7, 150).split()
     pairs = []

@@ -62,6 +62,16 @@ def test_columns_and_odd_rows(build, stage, odd, name):
     assert stage(name, build([])).count() == 0
 
 
+def test_last_stage_takes_odd_rows(build, odd, stage):
+    """A row each, with its ids; a null text is empty."""
+    rows = stage("bpe", build(odd)).collect()
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in rows) == sorted(
+        (str(i), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in odd
+    )
+    assert all(r.n_tokens * 4 == len(r.ids) for r in rows)
+    assert stage("bpe", build([])).count() == 0
+
+
 def test_decontamination_drops_only_contaminated(build, stage, workers):
     passage = workers.read.parquet(f"{SMALL}/benchmark.parquet").first().text
     docs = build([(1, passage), (None, passage), (2, prose(41, 60)), (2, passage), (None, None)])

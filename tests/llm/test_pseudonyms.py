@@ -2,7 +2,9 @@ import re
 
 import pytest
 
+from tests.llm.conftest import SMALL
 from vacanta.llm import pseudonyms
+from vacanta.llm.queries import JOBS, TEST_KEY
 
 
 def luhn(s):
@@ -98,6 +100,40 @@ def test_brute_force_feistel(build):
     assert got[:-1] == a + b and luhn(got)
 
 
+def test_query_replaces_what_plain_code_finds(workers):
+    """Whole table: text between values stays, cards follow the plain permutation, kinds are counted."""
+    import hashlib
+
+    def shift(part, digest):
+        return "".join(str((int(c) + int(digest[4 * (i % 16) : 4 * (i % 16) + 4], 16)) % 10) for i, c in enumerate(part))
+
+    def plain_card(value):
+        digits = re.sub(r"\D", "", value)
+        body = digits[:-1]
+        a, b = body[: (len(body) + 1) // 2], body[(len(body) + 1) // 2 :]
+        for n in range(8):
+            own, other = (a, b) if n % 2 == 0 else (b, a)
+            digest = hashlib.sha256(f"{TEST_KEY}|card|{n}|{len(own)}|{other}".encode()).hexdigest()
+            a, b = (shift(a, digest), b) if n % 2 == 0 else (a, shift(b, digest))
+        check = next(c for c in "0123456789" if luhn(a + b + c))
+        new = iter(a + b + check)
+        return "".join(next(new) if c.isdigit() else c for c in value)
+
+    texts = dict(workers.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect())
+    rows = JOBS["op3_feistel_pseudonyms"](workers, SMALL).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    pattern, changed = re.compile(pseudonyms.VALUE), 0
+    for r in rows:
+        before, after = texts[r.doc_id], r.text
+        old, new = pattern.findall(before), pattern.findall(after)
+        assert pattern.split(before) == pattern.split(after) and len(old) == len(new)
+        cards = [(a, b) for a, b in zip(old, new, strict=True) if re.fullmatch(pseudonyms.CARD, a) and luhn(a)]
+        assert all(b == plain_card(a) for a, b in cards)
+        assert sum(a != b for a, b in zip(old, new, strict=True)) <= sum(r[f"n_{k}"] for k in pseudonyms.KINDS)
+        changed += len(cards)
+    assert changed
+
+
 def test_odd_rows(build, odd):
     docs = build(odd)
     rows = pseudonyms.pseudonymised(docs, "k")

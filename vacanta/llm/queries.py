@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -54,7 +56,9 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_vacanta", False):
         return
-    archive = Path(tempfile.mkdtemp()) / "vacanta.zip"
+    folder = tempfile.mkdtemp(prefix="vacanta-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "vacanta.zip"
     with zipfile.ZipFile(archive, "w") as packed:
         for module in root.glob("vacanta/**/*.py"):
             packed.write(module, module.relative_to(root))

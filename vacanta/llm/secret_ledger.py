@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacanta.session import scratch_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -152,6 +154,10 @@ def scan_versions(
             ).alias("spans")
         )
     )
+    # Written, so that a blob with very many paths can be split in the join.
+    found_at = scratch_path(spark, "secret-findings")
+    findings.write.parquet(found_at)
+    findings = spark.read.parquet(found_at)
     return paths.join(findings, "blob", "left").select(
         *(F.col(f"_p_{c}").alias(c) for c in path),
         "blob",
