@@ -361,6 +361,8 @@ def test_timestamps_and_summaries(spark, raw):
     assert tuple(dataset_summary(df).first()) == (2, "2025-03-05", "2025-03-05")
     assert tuple(processing_summary(process_postings(df)).first()) == (2, 1, 0.5)
     assert health(df).first().status == "ok" and health(df).first().null_share_created == 0.5
+    assert health(df).first().detail is None
+    assert health(None, spark=spark, detail="no table").first().asDict()["detail"] == "no table"
     assert health(None, spark=spark).first().status == "degraded"
 
 

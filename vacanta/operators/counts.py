@@ -104,22 +104,27 @@ def processing_summary(df: DataFrame, salary: str = "salary_midpoint") -> DataFr
     ).withColumn("salary_share", F.bround(F.try_divide("with_salary", "rows"), 4))
 
 
-def health(df: DataFrame | None, model_loaded: bool = False, spark=None) -> DataFrame:
+def health(
+    df: DataFrame | None, model_loaded: bool = False, spark=None, detail: str = "no postings are stored yet"
+) -> DataFrame:
     """One row: whether there is data and a model, and how complete the columns are.
 
-    ``df`` is None when there is no stored table yet: the state is then degraded.
+    ``df`` is None when there is no stored table yet: the state is then degraded, and
+    ``detail`` says why. A sound state has no detail.
     """
     if df is None:
         return spark.range(1).select(
             F.lit("degraded").alias("status"),
             F.lit(0).cast("bigint").alias("dataset_rows"),
             F.lit(model_loaded).alias("model_loaded"),
+            F.lit(detail).alias("detail"),
         )
     watched = [n for n in ("id", "company", "region", "contract_type", "created") if n in df.columns]
     return df.agg(
         F.lit("ok").alias("status"),
         F.count(F.lit(1)).alias("dataset_rows"),
         F.lit(model_loaded).alias("model_loaded"),
+        F.lit(None).cast("string").alias("detail"),
         *[
             F.bround(F.try_divide(F.count_if(F.col(n).isNull()), F.count(F.lit(1))), 4).alias(
                 f"null_share_{n}"
