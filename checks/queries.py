@@ -561,7 +561,7 @@ def _(spark, folder):
 
 @query(
     "health_report",
-    f"""{S.BASE} SELECT 'ok' AS status, count(*) AS dataset_rows, false AS model_loaded, """
+    f"""{S.BASE} SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS detail, count(*) AS dataset_rows, false AS model_loaded, """
     + ", ".join(
         f"{S.half_even(f'count(*) FILTER ({n} IS NULL) / count(*)', 4)} AS null_share_{n}"
         for n in ("id", "company", "region", "contract_type", "created")
