@@ -40,7 +40,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_TOKENS = 50
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
+SLICE = 128  # texts measured at once
 # Prose uses few distinct tokens however long it is; entropy is compared with so many.
 ENTROPY_TOKENS = 1024
 
@@ -283,8 +284,8 @@ def measured(
         known = Vocabulary(codec(worker_path(rank_file), pattern), _pieces(worker_path(model_file)))
         names = MEASURES.fieldNames()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
                 found = measures(part.column(at).to_pylist(), known)
                 rows = [dict(zip(names, x, strict=True)) for x in found]
                 yield pa.RecordBatch.from_arrays(
