@@ -120,7 +120,8 @@ class Vocabulary:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.n_tokens = self.n_pieces = self.n_bytes = self.tokens = np.zeros(0, dtype=np.int64)
+        self.n_tokens = self.n_pieces = self.n_bytes = np.zeros(0, dtype=np.int64)
+        self.tokens = np.zeros(0, dtype=np.int32)
 
     def learn(self, words: set[str]) -> None:
         """Numbers and encodes the words that are not known yet, all in one call."""
@@ -132,7 +133,7 @@ class Vocabulary:
             return
         # One text of all words: no match of the pattern holds more than one space before
         # a word, so cutting the ids at the words' bytes gives each word's own ids.
-        tokens = np.frombuffer(self._buffer("".join(" " + w for w in new)), dtype="<u4").astype(np.int64)
+        tokens = np.frombuffer(self._buffer("".join(" " + w for w in new)), dtype="<u4").astype(np.int32)
         ends = np.cumsum(self._token_bytes[tokens])
         word_ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in new])
         cut = np.searchsorted(ends, word_ends, side="right")
