@@ -47,6 +47,7 @@ from vacanta.sources.readers import (
     read_searches,
     rejected_records,
 )
+from vacanta.sources.searches import failed_records, found_postings, load_searches
 from vacanta.sources.writers import as_json, write_csv
 from vacanta.streaming.first_sightings import first_sightings, keep_first_sightings
 from vacanta.streaming.ingest import ingest
@@ -121,6 +122,28 @@ def _(spark, folder):
     )
 
 
+@query(
+    "source_searches",
+    f"""WITH f AS ({_SEARCH_FILES.format(orders='orders')})
+    SELECT query, value::JSON->>'$.id' AS id, trim(value::JSON->>'$.title') AS title, '' AS company
+    FROM f WHERE json_valid(value)""",
+)
+def _(spark, folder):
+    """The same searches by the data source, in pieces smaller than a page."""
+    records = load_searches(spark, _search_folder(spark, folder), piece_bytes="65536")
+    return found_postings(records).select("query", "id", "title", "company")
+
+
+@query(
+    "source_failures",
+    f"""WITH f AS ({_SEARCH_FILES.format(orders='orders')})
+    SELECT query, 'not JSON' AS failure, count(*) AS failed FROM f WHERE NOT json_valid(value) GROUP BY 1""",
+)
+def _(spark, folder):
+    failed = failed_records(load_searches(spark, _search_folder(spark, folder)))
+    return failed.groupBy("query", "failure").agg(F.count(F.lit(1)).alias("failed"))
+
+
 @query(
     "json_report",
     f"""{S.WITH_PAY} SELECT concat('{{"id":"', id, '","share":',
@@ -234,6 +257,22 @@ def _(spark, folder):
     )
 
 
+@query(
+    "stream_searches",
+    f"""WITH f AS ({_SEARCH_FILES.format(orders='orders')})
+    SELECT query, value::JSON->>'$.id' AS id, trim(value::JSON->>'$.title') AS title FROM f WHERE json_valid(value)""",
+)
+def _(spark, folder):
+    """Pages arrive in three deliveries; the store takes them from the source's stream."""
+    path, log, store = (scratch_path(spark, name) for name in ("pages", "pages-log", "pages-store"))
+    files = spark.sql(_SEARCH_FILES, orders=table(spark, folder, "orders"))
+    for number in range(3):
+        delivery = files.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == number)
+        delivery.write.mode("append").partitionBy("query").text(path)
+        ingest(found_postings(load_searches(spark, path, streaming=True)), store, log).awaitTermination()
+    return refresh.current(spark, store).select("query", "id", "title")
+
+
 def _deliver(spark: SparkSession, rows: DataFrame, by, run) -> None:
     """Three deliveries, the latest first; ``run`` takes the stream on after each."""
     path = scratch_path(spark, "deliveries")
