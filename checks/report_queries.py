@@ -15,7 +15,7 @@ from checks import sql as S
 from checks.postings import table
 from checks.queries import _DEMAND, _trend_sql, processed, query
 from vacanta.functions.skills import skills_in
-from vacanta.operators import demand, overview_cells, salary
+from vacanta.operators import demand, overview_cells, salary, salary_cells
 from vacanta.operators.quantiles import box_plots
 from vacanta.plans import reports
 from vacanta.session import scratch_path
@@ -100,7 +100,10 @@ def _salary_sql(rows: str) -> str:
 
 
 def _salary(spark, folder, selections):
-    report = reports.salary(stored(spark, folder), selections)
+    return _salary_sections(reports.salary(stored(spark, folder), selections))
+
+
+def _salary_sections(report):
     return stacked(
         [
             *(section(report[n], n, F.col("label"), F.col("median")) for n in ("by_role", "by_seniority")),
@@ -301,3 +304,23 @@ def _(spark, folder):
     overview_cells.build(processed(spark, folder), path)
     every = overview_cells.totals(spark, path, {}).withColumn("rows_of", F.lit("all"))
     return every.unionByName(overview_cells.totals(spark, path, _CHOSEN).withColumn("rows_of", F.lit("chosen")))
+
+
+@query(
+    "salary_from_cells",
+    f"""SELECT 'all' AS rows_of, * FROM ({_salary_sql('true')})
+    UNION ALL SELECT 'contract', * FROM ({_salary_sql(_CONTRACT)})
+    UNION ALL SELECT 'chosen', * FROM ({_salary_sql(_CHOSEN_SQL)})""",
+)
+def _(spark, folder):
+    """The salary report of all postings and of two selections, from one table of cells."""
+    path = scratch_path(spark, "salary-cells")
+    salary_cells.build(processed(spark, folder), path)
+    cells = spark.read.parquet(path)
+    kinds = {"all": {}, "contract": CONTRACT, "chosen": _CHOSEN}
+    return stacked(
+        [
+            _salary_sections(salary_cells.report(cells, chosen)).withColumn("rows_of", F.lit(kind))
+            for kind, chosen in kinds.items()
+        ]
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vacanta.operators.counts import overview_totals, period_counts, top_locations, value_counts, value_counts_of
 from vacanta.operators.filters import SALARY_BOUNDS, plausible_salary
 from vacanta.operators.processing import add_salary_midpoint
-from vacanta.operators import free_quantiles, overview_cells
+from vacanta.operators import free_quantiles, overview_cells, salary_cells
 from vacanta.operators.quantiles import box_plots, medians
 from vacanta.operators.salary import (
     pay_by_skill,
@@ -15,6 +15,8 @@ from vacanta.operators.salary import (
     salary_distribution,
     salary_histogram,
 )
+from vacanta.plans import reports
+from vacanta.session import scratch_path
 
 
 def frame(spark, values, group=None):
@@ -216,3 +218,45 @@ def test_cells_give_totals_under_any_filter(spark, tmp_path):
     for chosen in ({}, {"region": ["g0"]}, {"seniority": ["s0", "s1"], "contract_type": ["t2"]}, {"role_category": ["none"]}):
         want = overview_totals(apply_filters(df, chosen)).first().asDict()
         assert overview_cells.totals(spark, path, chosen).first().asDict() == want
+
+
+def cell_frame(spark, rows):
+    return spark.createDataFrame(
+        rows, "role_category string, region string, skills array<string>, salary_midpoint double, extra int"
+    )
+
+
+@pytest.mark.parametrize("selections", [{}, {"region": ["N"]}, {"region": ["N", "S"], "role_category": ["A"]}, {"region": ["?"]}])
+def test_cells_give_the_report_of_the_postings(spark, selections):
+    roles, regions = ["A", "B", None], ["N", "S", None]
+    rows = [
+        (roles[i % 3], regions[i % 7 % 3], ["SQL", "SQL", None, f"K{i % 4}"] if i % 5 else None, 14_000.0 + 997 * (i % 40), i)
+        for i in range(300)
+    ]
+    rows += [rows[4]] * 150 + [("A", "N", [], None, 0), ("A", "N", ["SQL"], float("nan"), 0), ("A", "N", ["SQL"], 1e9, 0)]
+    df = cell_frame(spark, rows)
+    paths = [scratch_path(spark, "cells") for _ in range(2)]
+    salary_cells.build(df.filter("extra % 2 = 0"), paths[0])
+    salary_cells.build(df.filter("extra % 2 = 1"), paths[1])
+    cells = spark.read.parquet(paths[0]).unionByName(spark.read.parquet(paths[1]))
+    merged, whole = salary_cells.report(cells, selections), reports.salary(df, selections)
+    for name, section in whole.items():
+        assert merged[name].collect() == section.collect(), name
+    assert "seniority" not in cells.columns
+
+
+def test_cells_of_no_postings(spark):
+    path = scratch_path(spark, "cells")
+    salary_cells.build(cell_frame(spark, []), path)
+    report = salary_cells.report(spark.read.parquet(path), {"region": ["N"]})
+    assert [section.count() for section in report.values()] == [0, 0, 0, 0]
+
+
+def test_sections_read_the_cells_once(spark):
+    path = scratch_path(spark, "cells")
+    salary_cells.build(cell_frame(spark, [("A", "N", ["SQL"], 20_000.0 + i, i) for i in range(20)]), path)
+    report = salary_cells.report(spark.read.parquet(path), {"region": ["N"]})
+    for name in ("by_role", "by_skill"):
+        report[name].collect()
+        plan = report[name]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1 and "EqualTo(region,N)" in plan, name

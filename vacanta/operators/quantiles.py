@@ -144,7 +144,11 @@ def quantiles(
 
 def medians(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds) -> DataFrame:
     """``(keys, median, count)`` over the values within ``bounds``."""
-    counts = value_counts(df, keys, value, bounds)
+    return medians_of(value_counts(df, keys, value, bounds), keys)
+
+
+def medians_of(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``medians`` from counts of values."""
     return quantiles(counts, slot_profile(counts, keys), keys, {"median": 0.5})
 
 
@@ -156,7 +160,11 @@ def box_plots(df: DataFrame, keys: Sequence[str], value: str, bounds: Bounds) ->
     those are looked into. ``keys`` must name at least one column without nulls. Every
     branch uses the same columns of the counts, so that their shuffle is made once.
     """
-    counts = value_counts(df, keys, value, bounds)
+    return box_plots_of(value_counts(df, keys, value, bounds), keys)
+
+
+def box_plots_of(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``box_plots`` from counts of values."""
     profile = slot_profile(counts, keys)
     boxes = quantiles(counts, profile, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5

@@ -57,6 +57,11 @@ def salary_histogram(
     scalar subquery and the counts from one aggregate row, so nothing is joined.
     """
     salaries = with_plausible_salary(df, salary).select(plausible_salary(df, salary).alias("_v"))
+    return histogram_of(salaries.withColumn("_n", F.lit(1).cast("bigint")), buckets)
+
+
+def histogram_of(salaries: DataFrame, buckets: int = HISTOGRAM_BUCKETS) -> DataFrame:
+    """``salary_histogram`` of values ``_v`` that occur ``_n`` times."""
     low, high = F.min("_v"), F.max("_v")
     same = low == high
     start = F.when(same, low - F.abs(low) * 0.001).otherwise(low)
@@ -66,11 +71,13 @@ def salary_histogram(
     edges = salaries.agg(F.array(first, *inner, stop).alias("edges")).scalar()
 
     # The subquery is evaluated once; each row is compared with its 25 numbers.
-    placed = salaries.select("_v", edges.alias("_edges")).select(
-        F.size(F.filter("_edges", lambda edge: edge < F.col("_v"))).alias("_bucket")
+    placed = salaries.select("_v", "_n", edges.alias("_edges")).select(
+        F.size(F.filter("_edges", lambda edge: edge < F.col("_v"))).alias("_bucket"), "_n"
     )
     counted = placed.agg(
-        F.array(*[F.count_if(F.col("_bucket") == i + 1) for i in range(buckets)]).alias("counts"),
+        F.array(
+            *[F.coalesce(F.sum(F.when(F.col("_bucket") == i + 1, F.col("_n"))), F.lit(0)) for i in range(buckets)]
+        ).alias("counts"),
         F.count(F.lit(1)).alias("all"),
     ).filter(F.col("all") > 0)
     bounded = counted.select("counts", edges.alias("edges"))
@@ -100,9 +107,15 @@ def pay_by_skill(
         listed.alias("skills"), plausible_salary(df, salary).alias("_salary")
     )
     pairs = paid.select(exploded("skills"), "_salary").filter(F.col("skill").isNotNull())
+    return best_paid(medians(pairs, ["skill"], "_salary", SALARY_BOUNDS), limit, least)
+
+
+def best_paid(
+    by_skill: DataFrame, limit: int = PAY_BY_SKILL_LIMIT, least: int = PAY_BY_SKILL_MIN_POSTINGS
+) -> DataFrame:
+    """Of ``(skill, median, count)`` the largest skills, best paid first."""
     largest = (
-        medians(pairs, ["skill"], "_salary", SALARY_BOUNDS)
-        .filter(F.col("count") >= least)
+        by_skill.filter(F.col("count") >= least)
         .orderBy(F.desc("count"), "skill")
         .limit(limit)
     )
