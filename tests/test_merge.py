@@ -27,7 +27,7 @@ from vacanta.sources.readers import (
 )
 from vacanta.sources.schema import require_columns
 from vacanta.sources.writers import as_json, write_csv
-from vacanta.streaming.first_sightings import first_sightings, keep_first_sightings
+from vacanta.streaming.first_sightings import BUCKETS, first_sightings, keep_first_sightings
 from vacanta.streaming.ingest import ingest
 from vacanta.streaming.live_counts import keep_counts, latest_counts, weekly_mentions
 
@@ -375,3 +375,23 @@ def test_json_has_no_nan(spark):
     assert [json.loads(x) for x in texts] == [
         {"id": 1, "a": None, "b": [{"c": None}, {"c": 2.0}]}, {"id": 2, "a": 1.5, "b": None},
     ]
+
+
+def test_ids_share_calls_into_python(spark, tmp_path):
+    """Ids of one bucket are handled together: no more state rows than buckets, and all ids right."""
+    folder, n = str(tmp_path), 3 * BUCKETS
+    for again in (1, 0):
+        rows = spark.range(n).select(
+            F.col("id").cast("string").alias("id"), F.timestamp_seconds(F.col("id") + again).alias("collected_at")
+        )
+        rows.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        query = keep_first_sightings(stream, f"{folder}/store", f"{folder}/log")
+        query.awaitTermination()
+    states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(states) <= BUCKETS
+    got = first_sightings(spark, f"{folder}/store", rows.schema)
+    assert got.filter(F.unix_timestamp("collected_at") == F.col("id").cast("long")).count() == got.count() == n
+    # A new checkpoint takes all ids of a bucket over.
+    keep_first_sightings(stream, f"{folder}/store", f"{folder}/other").awaitTermination()
+    assert first_sightings(spark, f"{folder}/store", rows.schema).count() == n
