@@ -6,6 +6,7 @@ import pytest
 
 from vacanta.plans import refresh
 from vacanta.session import scratch_path
+from vacanta.sources import searches
 from vacanta.sources.searches import failed_records, found_postings, load_searches
 from vacanta.streaming.ingest import ingest
 
@@ -86,3 +87,47 @@ def test_a_stream_reads_each_page_once_also_within_one_tick(spark, tmp_path):
     assert take() == [("x", "a1"), ("x", "a2"), ("x", "a4"), ("y", "a3")]
     stored = refresh.sightings(spark, store)  # every one, not only the first
     assert sorted(r.id for r in stored.select("id").collect()) == ["a1", "a2", "a3", "a4"]
+
+
+def test_a_piece_reads_little_more_than_itself(tmp_path):
+    """Pieces of a page are read once altogether, not a block of the reader's size each."""
+    lines = [advert(i, description="x" * (i % 50)) for i in range(30_000)]
+    page(tmp_path, "x", "1.json", "\n".join(lines))
+    taken = []
+
+    class File:
+        def __init__(self, path):
+            self.file = open(path, "rb")
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *fault):
+            self.file.close()
+
+        def seek(self, at):
+            return self.file.seek(at)
+
+        def read(self, n):
+            taken.append(len(block := self.file.read(n)))
+            return block
+
+    class Files:
+        open_input_file = staticmethod(File)
+
+    reader = searches._source()({"path": str(tmp_path), "piece_bytes": "65536"}).reader(None)
+    pieces = [p for part in reader.partitions() for p in part.pieces]
+    got = [x for file, _, *ends in pieces for found in reader.lines(Files, file, *ends) for x in found]
+    assert b"".join(got) == "\n".join(lines).encode() and len(pieces) > 20
+    assert sum(taken) < 1.2 * pieces[-1][3]
+
+
+def test_tasks_do_not_grow_with_small_pieces(tmp_path):
+    lines = "\n".join(advert(i) for i in range(20_000))
+    for query in ("x", "y"):
+        page(tmp_path, query, "1.json", lines)
+    reader = searches._source()({"path": str(tmp_path), "piece_bytes": "50"}).reader(None)
+    parts = reader.partitions()
+    assert 2 < len(parts) < 2 * searches.MANY_TASKS
+    ends = [p[2:] for part in parts if part.query == "x" for p in part.pieces]
+    assert len(ends) > 9000 and [a[1] for a in ends[:-1]] == [b[0] for b in ends[1:]]

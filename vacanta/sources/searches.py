@@ -3,7 +3,9 @@
 Below ``path`` lie folders ``query=<words>`` with pages of one record a line, plain or
 compressed. A partition holds pages of one search; a search of more than ``piece_bytes``
 has several, and a large plain page is cut at lines, so a search may hold any share of all
-records. Files are listed on the driver, as Spark lists its own; records are read in tasks.
+records. Pieces that are small beside all records share a partition: the number of tasks
+does not grow with the records before partitions are full. Files are listed on the driver,
+as Spark lists its own; records are read in tasks.
 
 A page that cannot be read costs one row with ``failure`` and fails nothing else. Rows
 before the fault stay. A line that is not UTF-8 is a failure of its own. Empty lines, empty
@@ -26,6 +28,8 @@ from vacanta.sources.schema import ADVERT
 FORMAT = "searches"
 PIECE_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20  # lines handed to Spark at once
+MANY_TASKS = 2048  # from here on a partition takes several small pieces of a search, up to PIECE_BYTES
+TAIL_BYTES = 4 << 10  # read at once beyond a piece, for its last line
 
 RECORDS = "query string, file string, written timestamp, record string, failure string"
 
@@ -44,7 +48,8 @@ def _source():
         InputPartition,
     )
 
-    piece_bytes, batch_bytes, schema = PIECE_BYTES, BATCH_BYTES, RECORDS
+    piece_bytes, batch_bytes, tail_bytes, many_tasks = PIECE_BYTES, BATCH_BYTES, TAIL_BYTES, MANY_TASKS
+    schema = RECORDS
 
     class Pieces(InputPartition):
         def __init__(self, query, pieces):
@@ -84,6 +89,8 @@ def _source():
 
         def partitions_of(self, listed):
             parts = []
+            total = sum(length for pages in listed.values() for *_, length in pages)
+            room = max(self.most, min(total // many_tasks, piece_bytes))
             for query, pages in listed.items():
                 own, size = [], 0
                 for time, file, length in pages:
@@ -91,7 +98,7 @@ def _source():
                     step = self.most if plain else length
                     for first in range(0, length, step):
                         end = min(length, first + step)
-                        if own and size + end - first > self.most:
+                        if own and size + end - first > room:
                             parts.append(Pieces(query, own))
                             own, size = [], 0
                         own.append((file, time, first, end if plain else None))
@@ -112,8 +119,14 @@ def _source():
                 if first:  # the line that runs into this piece belongs to the one before
                     at = source.seek(first - 1)
                 skip = bool(first)
+                step, read, tail = batch_bytes, at, tail_bytes
                 while True:
-                    block = source.read(batch_bytes)
+                    if end is not None and read < end:
+                        step = min(batch_bytes, end - read)
+                    elif end is not None:  # the rest of the last line
+                        step, tail = tail, min(batch_bytes, 2 * tail)
+                    block = source.read(step)
+                    read += len(block)
                     text = rest + block
                     cut = text.rfind(b"\n") + 1 if block else len(text)
                     whole, rest = text[:cut], text[cut:]
