@@ -17,6 +17,12 @@ def bucket_of(number: Column) -> Column:
     return F.bitmap_bucket_number(number)
 
 
+def has_bit(bitmap: Column, position: Column) -> Column:
+    """Whether the bit at ``position`` (``bitmap_bit_position`` of a number) is set."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.getbit(byte.cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
+
+
 def members(bitmap: Column, bucket: Column) -> Column:
     """The numbers of a bitmap as an array; only bytes with a bit are looked into."""
     digits = F.hex(bitmap)

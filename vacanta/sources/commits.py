@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,9 +103,11 @@ def commit(
     name: str,
     order: int | None = None,
     replaces: tuple[str, ...] = (),
+    settle: Callable[[DataFrame], DataFrame | None] = lambda written: None,
 ) -> None:
     """Store rows as batch ``name``. Does nothing if that batch is committed already.
 
+    ``settle`` sees the written rows before the commit, and may give others to store instead.
     Rows that have an order and a batch keep them. A try that died left no commit; its
     files are replaced.
     """
@@ -114,7 +117,15 @@ def commit(
     order = time.time_ns() if order is None else order
     marks = {n: v for n, v in ((ORDER, F.lit(order)), (BATCH, F.lit(name))) if n not in rows.columns}
     path = f"{store}/rows/{name}"
-    rows.withColumns(marks).write.mode("overwrite").parquet(path)
+    marked = rows.withColumns(marks)
+    marked.write.mode("overwrite").parquet(path)
+    settled = settle(spark.read.schema(marked.schema).parquet(path))
+    if settled is not None:
+        settled.write.mode("overwrite").parquet(f"{path}-settled")
+        files, target = _files(spark, path)
+        files.delete(target, True)
+        if not files.rename(_files(spark, f"{path}-settled")[1], target):
+            raise OSError(f"cannot rename {path}-settled")
     n = spark.read.parquet(path).count()  # from the files' footers
     files, folder = _files(spark, f"{store}/commits")
     files.mkdirs(folder)
