@@ -145,6 +145,31 @@ def test_batch_committed_during_a_compaction_stays(spark, raw, store):
     assert {r.id for r in store_jobs.current(spark, store).collect()} == {"kept", "a", "b"}
 
 
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_is_written_without_a_shuffle_and_holds_an_id_once(spark, raw, store, monkeypatch):
+    seen, commit = [], commits.commit
+    monkeypatch.setattr(commits, "commit", lambda rows, *a, **k: (seen.append(plan_of(rows)), commit(rows, *a, **k)))
+    twice = [
+        raw_row("x", collected_at="2025-03-07T10:00:00Z"),
+        raw_row("x", company="First", collected_at="2025-03-06T10:00:00Z"),
+        *(raw_row("tied", company=c) for c in "abc"),
+        raw_row("once"),
+        raw_row(None),
+        raw_row(None),
+    ]
+    rows = process_postings(raw(*twice))
+    wanted = sorted(map(str, first_seen(rows).collect()))
+    for most in (store_jobs.BROADCAST_IDS, 1):
+        monkeypatch.setattr(store_jobs, "BROADCAST_IDS", most)
+        name = store_jobs.write_batch(rows, store)
+        got = store_jobs.sightings(spark, store).filter(F.col(commits.BATCH) == name)
+        assert sorted(map(str, got.select(rows.columns).collect())) == wanted and len(wanted) == 5
+    assert len(seen) == 2 and not any("Exchange" in plan for plan in seen)
+
+
 def test_report_over_the_store_reads_few_columns_once(spark, raw, store):
     store_jobs.refresh(raw(raw_row("a"), raw_row(None)), store)
     plan = value_counts(store_jobs.current(spark, store), "company")
