@@ -76,6 +76,44 @@ def test_join_form_when_nothing_is_broadcast(spark):
     assert {r.id: r.skills for r in rows} == expected()
 
 
+def optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dictionary_join_evaluates_texts_once(spark):
+    """A broadcast dictionary and one pass, unless it has spellings of more than eight words."""
+    turned = texts(spark).select("id", F.reverse("text").alias("text"))
+    plan = optimised(match_dictionary(turned, dictionary_table(spark)))
+    assert plan.count("reverse(") == 1 and plan.count("broadcast") == 1
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_spellings_of_every_length(spark, threshold):
+    words = [f"w{i}" for i in range(1, 13)]
+    spellings = {f"first {n}": " ".join(words[:n]) for n in (1, 2, 3, 4, 8, 9, 11)}
+    spellings |= {f"last {n}": " ".join(words[-n:]) for n in (1, 2, 3, 8, 9)} | {"broken": "w1 w2 w4", "past the end": "w11 w12 w13"}
+    rows = [("whole", " ".join(words)), ("start", "w1 w2 w3"), ("twice", "w1 w1 w2 w1 w2 w3 w4"), ("none", "x"), ("null", None), (None, "w1 w2 w3")]
+    dictionary = spark.createDataFrame(list(spellings.items()), "skill string, alias string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = match_dictionary(spark.createDataFrame(rows, "id string, text string"), dictionary).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.id: r.skills for r in found} == {
+        "whole": sorted(set(spellings) - {"broken", "past the end"}),
+        "start": ["first 1", "first 2", "first 3"],
+        "twice": ["first 1", "first 2", "first 3", "first 4"],
+        "none": [],
+        "null": [],
+        None: ["first 1", "first 2"],
+    }
+
+
+def test_no_dictionary_rows(spark):
+    empty = spark.createDataFrame([], "skill string, alias string")
+    assert {r.id: r.skills for r in match_dictionary(texts(spark), empty).collect()} == {i: [] for i in expected()}
+
+
 def test_spelling_tokens_equal_text_tokens(spark):
     spellings = [w for g in SKILL_DICTIONARY.values() for ws in g.values() for w in ws]
     df = spark.createDataFrame([(w,) for w in spellings], "w string").select("w", tokens(F.col("w")).alias("t"))

@@ -24,6 +24,12 @@ def dictionary_table(spark, dictionary: Dictionary = SKILL_DICTIONARY) -> DataFr
 
 
 LEAD_WORDS = 2
+# Spellings of more words than this are compared beside their texts, joined by key.
+WORDS_AT_PLACE = 8
+# Spellings of no more bytes than this are broadcast.
+SMALL_DICTIONARY = 4_000_000
+# Leads of the rows that keep texts without a hit; no word holds a line break.
+MARKS = 64
 
 
 def match_dictionary(
@@ -34,9 +40,13 @@ def match_dictionary(
     Every word, and every word with its neighbour, is looked up by an equi-join among the
     spellings' first two words, so the cost grows neither with the number of spellings nor
     with their lengths. Spellings of more than two words are then compared in full, at the
-    places found. No side is hinted: Spark broadcasts what it measures as small, and
-    otherwise shuffles by words, where a frequent one is split by the adaptive skew
-    handling. ``key`` must be unique.
+    places found: up to eight words with the words that a place carries, longer ones with
+    the text, joined by key. Texts are evaluated once unless there are such longer ones.
+
+    The dictionary is measured first (three numbers). A small one is broadcast, so that
+    words are not shuffled; otherwise both sides are shuffled by words, where a frequent one
+    is split by the adaptive skew handling. ``key`` must be unique; under a null key only
+    spellings of up to two words and longer than none are found.
     """
     spelled = (
         dictionary.select("skill", tokens(F.col("alias")).alias("_spelling"))
@@ -44,29 +54,53 @@ def match_dictionary(
         .distinct()
         .withColumn("_lead", F.array_join(F.slice("_spelling", 1, LEAD_WORDS), " "))
     )
+    letters = F.length(F.array_join("_spelling", " ")) + F.coalesce(F.length("skill"), F.lit(0))
+    measured = spelled.agg(
+        F.max(F.size("_spelling")).alias("words"), (4 * F.sum(letters) + 100 * F.count(F.lit(1))).alias("bytes")
+    ).first()
+    longest = measured.words or 0
+    hinted = (measured.bytes or 0) <= SMALL_DICTIONARY and not texts.sparkSession.conf.get(
+        "spark.sql.autoBroadcastJoinThreshold"
+    ).startswith("-")
     tokenised = texts.select(key, F.coalesce(tokens(F.col(text)), F.array()).alias("_words"))
+    # One marker per text keeps those without a hit, without reading texts again.
+    mark = F.concat(F.lit("\n"), F.pmod(F.xxhash64(key), F.lit(MARKS)).cast("string"))
+    marks = texts.sparkSession.range(MARKS).select(
+        F.lit(None).cast("string").alias("skill"),
+        F.array().cast("array<string>").alias("_spelling"),
+        F.concat(F.lit("\n"), F.col("id").cast("string")).alias("_lead"),
+    )
     pairs = F.arrays_zip(
         F.col("_words").alias("one"),
         F.slice("_words", F.lit(2), F.size("_words")).alias("next"),
     )
-    places = tokenised.select(key, F.posexplode(pairs).alias("_at", "_pair")).select(
-        key, "_at", F.explode(F.array("_pair.one", F.concat("_pair.one", F.lit(" "), "_pair.next"))).alias("_lead")
+    marked = F.concat(pairs, F.array(F.struct(mark.alias("one"), F.lit(None).cast("string").alias("next"))))
+    ahead = F.slice("_words", F.col("_at") + 1, min(longest, WORDS_AT_PLACE))
+    places = tokenised.select(key, "_words", F.posexplode(marked).alias("_at", "_pair")).select(
+        key,
+        "_at",
+        *([ahead.alias("_ahead")] if longest > LEAD_WORDS else []),
+        F.explode(F.array("_pair.one", F.concat("_pair.one", F.lit(" "), "_pair.next"))).alias("_lead"),
     )
-    found = places.join(spelled, "_lead")
     length = F.size("_spelling")
-    short = found.filter(length <= LEAD_WORDS).select(key, "skill")
-    long = (
-        found.filter(length > LEAD_WORDS)
-        .select(key, "_at", "skill", "_spelling")
-        .join(tokenised, key)
-        .filter(F.slice("_words", F.col("_at") + 1, length) == F.col("_spelling"))
-        .select(key, "skill")
-    )
-    # One marker row per text keeps those without a hit, without joining texts again.
-    marked = short.unionByName(long).unionByName(
-        texts.select(key, F.lit(None).cast("string").alias("skill"))
-    )
-    return marked.groupBy(key).agg(F.sort_array(F.collect_set("skill")).alias("skills"))
+
+    def look_up(spellings: DataFrame) -> DataFrame:
+        return places.join(F.broadcast(spellings) if hinted else spellings, "_lead")
+
+    found = look_up(spelled.filter(length <= WORDS_AT_PLACE).select("skill", "_spelling", "_lead").unionByName(marks))
+    if longest > LEAD_WORDS:
+        in_full = F.col(key).isNotNull() & (F.slice("_ahead", F.lit(1), length) == F.col("_spelling"))
+        found = found.filter((length <= LEAD_WORDS) | in_full)
+    hits = found.select(key, "skill")
+    if longest > WORDS_AT_PLACE:
+        hits = hits.unionByName(
+            look_up(spelled.filter(length > WORDS_AT_PLACE))
+            .select(key, "_at", "skill", "_spelling")
+            .join(tokenised, key)
+            .filter(F.slice("_words", F.col("_at") + 1, length) == F.col("_spelling"))
+            .select(key, "skill")
+        )
+    return hits.groupBy(key).agg(F.sort_array(F.collect_set("skill")).alias("skills"))
 
 
 def dictionary_problems(dictionary: DataFrame) -> DataFrame:
