@@ -78,3 +78,14 @@ def test_clean_title(spark):
     }
     assert run(spark, list(cases), t.clean_title) == list(cases.values())
     assert run(spark, [None], t.clean_title) == [""]
+
+
+def test_patterns_run_only_on_texts_that_can_hold_them(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+
+    def plan(c):
+        return df.select(c.alias("o"))._jdf.queryExecution().analyzed().numberedTreeString()
+
+    assert ", <)" in plan(t.strip_html(F.col("v")))
+    assert ", ()" in plan(t.clean_title(F.col("v")))
+    assert "https?://|[" in plan(t.clean_description(F.col("v")))

@@ -84,11 +84,13 @@ def skills_in(text: Column, dictionary: Dictionary = SKILL_DICTIONARY) -> Column
         return F.sort_array(F.array_distinct(F.flatten(F.transform(seen["starts"], under))))
 
     def scanned(words: Column) -> Column:
-        kept = F.array_distinct(F.filter(words, lambda word: word.isin(starts)))
-        looked_at = F.struct(phrase_form(words).alias("form"), kept.alias("starts"))
-        return F.when(F.size(kept) > 0, bind(looked_at, found)).otherwise(
-            F.array().cast("array<string>")
-        )
+        def looked_up(kept: Column) -> Column:
+            looked_at = F.struct(phrase_form(words).alias("form"), kept.alias("starts"))
+            return F.when(F.size(kept) > 0, bind(looked_at, found)).otherwise(
+                F.array().cast("array<string>")
+            )
+
+        return bind(F.array_distinct(F.filter(words, lambda word: word.isin(starts))), looked_up)
 
     return bind(F.coalesce(tokens(text), F.array()), scanned)
 
@@ -132,10 +134,11 @@ def category_counts(
 
     Skills outside the dictionary count in no category, only in ``n_skills_total``.
     """
-    counts = {
-        count_column(category): F.size(members(skills, list(owned)))
-        for category, owned in dictionary.items()
-    }
+
+    def owned_among(names: list[str]) -> Column:
+        return F.size(F.filter(skill_list(skills), lambda s: s.isin(names)))
+
+    counts = {count_column(category): owned_among(list(owned)) for category, owned in dictionary.items()}
     return {**counts, "n_skills_total": F.size(skill_list(skills))}
 
 

@@ -30,6 +30,7 @@ _UNSHOWN = r"(?is)<(script|style|template|rt|rp)\b[^>]*>.*?(?:</\1\s*>|\z)"
 _COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 _CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
 _DECLARATION = r"<[!?][^>]*>"
+_URL_OR_BULLET = rf"{URL_START}|[{BULLET_GLYPHS}]|{TAB_BULLET}"
 _TAG = r"""</?[A-Za-z][^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
 
 
@@ -154,12 +155,17 @@ def unescape(c: Column) -> Column:
 
 def strip_html(c: Column) -> Column:
     """Text of an HTML fragment on one line with single spaces."""
-    text = F.regexp_replace(c, _UNSHOWN, " ")
-    text = F.regexp_replace(text, _COMMENT, " ")
-    text = F.regexp_replace(text, _CDATA, " $1 ")
-    text = F.regexp_replace(text, _DECLARATION, " ")
-    text = F.regexp_replace(text, _TAG, " ")
-    text = unescape(text)
+
+    def without_markup(text: Column) -> Column:
+        shown = F.regexp_replace(text, _UNSHOWN, " ")
+        shown = F.regexp_replace(shown, _COMMENT, " ")
+        shown = F.regexp_replace(shown, _CDATA, " $1 ")
+        shown = F.regexp_replace(shown, _DECLARATION, " ")
+        shown = F.regexp_replace(shown, _TAG, " ")
+        # All of these begin with the sign that is looked for.
+        return F.when(text.contains("<"), shown).otherwise(text)
+
+    text = unescape(bind(c, without_markup))
     return F.trim(F.regexp_replace(text, rf"{_SPACES}+", " "))
 
 
@@ -179,12 +185,21 @@ def normalize_whitespace(c: Column) -> Column:
 
 def clean_description(c: Column) -> Column:
     """Plain text of a raw description; '' for null or blank."""
-    text = strip_html(unescape(F.coalesce(c, F.lit(""))))
-    return normalize_whitespace(normalize_bullets(remove_urls(text)))
+
+    def lines(text: Column) -> Column:
+        laid_out = normalize_whitespace(normalize_bullets(remove_urls(text)))
+        # Stripped text is one line with single spaces: without these it is ready.
+        return F.when(text.rlike(_URL_OR_BULLET), laid_out).otherwise(text)
+
+    return bind(strip_html(unescape(F.coalesce(c, F.lit("")))), lines)
 
 
 def clean_title(c: Column) -> Column:
     """Plain text of a raw title without bracketed remarks; '' for null."""
-    text = strip_html(unescape(F.coalesce(c, F.lit(""))))
-    text = F.regexp_replace(text, rf"{_SPACES}*{BRACKETED_PART}{_SPACES}*", " ")
-    return normalize_whitespace(text)
+
+    def without_remarks(text: Column) -> Column:
+        cut = F.regexp_replace(text, rf"{_SPACES}*{BRACKETED_PART}{_SPACES}*", " ")
+        remarked = text.contains("(") | text.contains("[")
+        return F.when(remarked, normalize_whitespace(cut)).otherwise(text)
+
+    return bind(strip_html(unescape(F.coalesce(c, F.lit("")))), without_remarks)
