@@ -43,7 +43,7 @@ def match_dictionary(
     places found: up to eight words with the words that a place carries, longer ones with
     the text, joined by key. Texts are evaluated once unless there are such longer ones.
 
-    The dictionary is measured first (three numbers). A small one is broadcast, so that
+    The dictionary is measured first (two numbers). A small one is broadcast, so that
     words are not shuffled; otherwise both sides are shuffled by words, where a frequent one
     is split by the adaptive skew handling. ``key`` must be unique; under a null key only
     spellings of up to two words and longer than none are found.
